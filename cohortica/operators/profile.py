@@ -101,13 +101,13 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int | None
         k = bins or auto_bins(r["n"], r["lo"], r["hi"], iqr[r["column"]], r["column"] in whole)
         lo, hi = (r["lo"], r["hi"]) if r["hi"] > r["lo"] else (r["lo"] - 0.5, r["hi"] + 0.5)
         plan.append((r["column"], float(lo), float(hi), k))
-    frame = F.broadcast(df.sparkSession.createDataFrame(plan, "column string, lo double, hi double, k int"))
+    frame = df.sparkSession.createDataFrame(plan, "column string, lo double, hi double, k int")
 
     def edge(i):
         at = F.col("lo") + i * ((F.col("hi") - F.col("lo")) / F.col("k"))
         return F.when(i == F.col("k"), F.col("hi")).otherwise(at)
 
-    placed = melt_numeric(df, cols).join(frame, "column")
+    placed = melt_numeric(df, cols).join(F.broadcast(frame), "column")  # a row per column
     v, k = F.col("value"), F.col("k")
     raw = F.least(F.floor((v - F.col("lo")) / (F.col("hi") - F.col("lo")) * k).cast("int"), k - 1)
     placed = placed.withColumn("raw", raw)
