@@ -52,17 +52,18 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
     return {r["column"]: r["top"]["value"] for r in top.collect()}
 
 
-def category_lists(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct texts of each column. Every one becomes a feature, so the count is checked."""
+def category_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Rows per text of each column. Every text becomes a feature, so their number is checked."""
     if not cols:
         return {}
-    rows = melt_text(df, cols).where(F.col("value").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
+    rows = melt_text(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n")).limit(MAX_CATEGORIES + 1).collect()
     if len(rows) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories to one-hot encode")
-    found: dict[str, list[str]] = {c: [] for c in cols}
+    found: dict[str, dict[str, int]] = {c: {} for c in cols}
     for r in rows:
-        found[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in found.items()}
+        found[r["column"]][r["value"]] = r["n"]
+    return found
 
 
 def numeric_moments(df: DataFrame, cols: Sequence[str], fill: dict[str, float]):
@@ -85,8 +86,10 @@ def fit(df: DataFrame, features: Sequence[str], binarised: Sequence[str] = (), t
     scaled = [c for c in numeric if c not in binarised]
     fill = {c: 0.0 if v is None else float(v) for c, v in medians(data, scaled).items()}
     means, deviations = numeric_moments(data, scaled, fill)
-    out = Fitted(scaled, categorical, list(binarised), fill, means, deviations,
-                 modes(data, categorical), category_lists(data, categorical))
+    counts = category_counts(data, categorical)
+    common = {c: min(n, key=lambda v: (-n[v], v)) for c, n in counts.items() if n}
+    out = Fitted(scaled, categorical, list(binarised), fill, means, deviations, common,
+                 {c: sorted(n) for c, n in counts.items()})
     out.model = _stages(out, threshold, df.sparkSession)
     return out
 
@@ -117,15 +120,14 @@ def _stages(f: Fitted, threshold: float, spark) -> PipelineModel:
         names += [f"cat__{c}_{v}" for v in cats[1:]]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
     if indexed:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [labels for *_, labels in indexed], inputCols=[x[0] for x in indexed],
-            outputCols=[x[1] for x in indexed], handleInvalid="error")
+        indexers = [StringIndexerModel.from_labels(labels, inputCol=text, outputCol=index, handleInvalid="error")
+                    for text, index, _, labels in indexed]
         # The encoder reads the sizes from the index columns' metadata; no data is scanned.
-        sized = indexer.transform(spark.createDataFrame([], T.StructType(
+        sized = PipelineModel(indexers).transform(spark.createDataFrame([], T.StructType(
             [T.StructField(x[0], T.StringType()) for x in indexed])))
         encoder = OneHotEncoder(inputCols=[x[1] for x in indexed], outputCols=[x[2] for x in indexed],
                                 dropLast=True).fit(sized)
-        stages += [indexer, encoder]
+        stages += [*indexers, encoder]
         inputs += [x[2] for x in indexed]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     f.feature_names = names

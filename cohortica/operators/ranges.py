@@ -9,12 +9,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.workspace import shuffle_partitions
+
 MAX_BUCKETS = 2048
 
 
 def bucket_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKETS, 4 * partitions))
+    return max(2, min(MAX_BUCKETS, 4 * shuffle_partitions(df.sparkSession)))
 
 
 def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:

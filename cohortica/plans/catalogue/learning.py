@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortica.config import Settings
+from cohortica.operators.clean import fill_median
 from cohortica.operators import importance, learners, metrics, preprocess, registry, resample, scoring, split
 from cohortica.plans import training
 from cohortica.plans.cases import (
@@ -23,6 +24,11 @@ METRIC_COLUMNS = "accuracy, precision, recall, f1, roc_auc"
 ROUNDED_METRICS = ", ".join(f"round({c}, 6) AS {c}" for c in METRIC_COLUMNS.split(", "))
 
 
+def _written(spark, sf):
+    """Labelled cases, written once for operators that read their input several times."""
+    return materialise(labelled(spark, sf), "labelled", "row_id")
+
+
 @query("i1_label_encode", """SELECT o_orderkey, o_orderstatus, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS label
 FROM orders""")
 def i1(spark, sf):
@@ -69,8 +75,7 @@ def _long_matrix(df, fitted):
 @query("i3_impute_median", f"WITH {FIT_SQL} SELECT row_id, {', '.join(f'round(coalesce({c}, md_{c}), 6) AS {c}' for c in NUMERIC)} "
                            "FROM labelled, med")
 def i3(spark, sf):
-    from cohortica.operators.clean import fill_median
-    df = fill_median(labelled(spark, sf).select("row_id", *NUMERIC), NUMERIC)
+    df = fill_median(_written(spark, sf).select("row_id", *NUMERIC), NUMERIC)
     return rounded(df.select("row_id", *[F.col(c).cast("double").alias(c) for c in NUMERIC]))
 
 
@@ -85,7 +90,7 @@ def i4(spark, sf):
     f"(coalesce({c}, md_{c}) - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1 ELSE sd_{c} END AS {c}" for c in NUMERIC)}, row_id
   FROM labelled, med, mom) SELECT row_id, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in NUMERIC)} FROM z""")
 def i5(spark, sf):
-    df = labelled(spark, sf)
+    df = _written(spark, sf)
     fitted = preprocess.fit(df, NUMERIC)
     out = fitted.transform(df.select("row_id", *NUMERIC))
     return rounded(out.select("row_id", *[F.col(f"_num_{i}").alias(c) for i, c in enumerate(NUMERIC)]))
@@ -93,19 +98,19 @@ def i5(spark, sf):
 
 @query("i6_one_hot", _matrix_sql().replace("FROM matrix", "FROM matrix WHERE feature LIKE 'cat__%'"))
 def i6(spark, sf):
-    df = labelled(spark, sf)
+    df = _written(spark, sf)
     return _long_matrix(df, preprocess.fit(df, TEXT))
 
 
 @query("i7_preprocess_base", _matrix_sql())
 def i7(spark, sf):
-    df = labelled(spark, sf)
+    df = _written(spark, sf)
     return _long_matrix(df, preprocess.fit(df, FEATURES))
 
 
 @query("i8_preprocess_binned", _matrix_sql(BINARISED))
 def i8(spark, sf):
-    df = labelled(spark, sf)
+    df = _written(spark, sf)
     return _long_matrix(df, preprocess.fit(df, FEATURES, BINARISED))
 
 
@@ -128,7 +133,7 @@ split AS (SELECT o.*, row_number() OVER (PARTITION BY o.label ORDER BY h, row_id
 
 @query("i11_stratified_split", f"WITH {SPLIT_SQL} SELECT row_id, label, is_test FROM split")
 def i11(spark, sf):
-    df = labelled(spark, sf).select("row_id", "label")
+    df = _written(spark, sf).select("row_id", "label")
     return split.stratified_split(df, "label", "row_id")
 
 
@@ -141,9 +146,8 @@ ends AS (SELECT label, f, sum(m) OVER (PARTITION BY label ORDER BY f) AS e FROM
 num AS (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY h, row_id) AS rn FROM train)
 SELECT row_id, label, CAST((SELECT min(f) FROM ends WHERE ends.label = num.label AND rn <= e) AS INTEGER) AS fold FROM num""")
 def i12(spark, sf):
-    df = split.stratified_split(labelled(spark, sf).select("row_id", "label"), "label", "row_id")
-    train = materialise(df.where("not is_test").drop("is_test"), "train")
-    return split.stratified_folds(train, "label", "row_id")
+    df = split.stratified_split(_written(spark, sf).select("row_id", "label"), "label", "row_id")
+    return split.stratified_folds(df.where("not is_test").drop("is_test"), "label", "row_id")
 
 
 SMOTE_COLUMNS = ("total_price", "acct_bal", "sum_qty")
@@ -152,7 +156,7 @@ SMOTE_COLUMNS = ("total_price", "acct_bal", "sum_qty")
 def _smote_input(spark, sf):
     df = labelled(spark, sf).select("row_id", "label", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in SMOTE_COLUMNS])
     return materialise(VectorAssembler(inputCols=list(SMOTE_COLUMNS), outputCol="features").transform(df).select(
-        "row_id", "label", "features"), "smote-input")
+        "row_id", "label", "features"), "smote-input", "row_id")
 
 
 def _draw_sql(name, n):
@@ -287,7 +291,7 @@ def i25_text(spark, sf):
 
 @query("i26_forest_importance")
 def i26(spark, sf):
-    df = labelled(spark, sf).withColumn("row_id", F.col("row_id").cast("string"))
+    df = _written(spark, sf).withColumn("row_id", F.col("row_id").cast("string"))
     return rounded(importance.forest_importance(df, FEATURES, SETTINGS))
 
 
@@ -312,7 +316,7 @@ def i28_fill(spark, sf):
 
 
 def _fitted_logistic(spark, sf):
-    df = labelled(spark, sf)
+    df = _written(spark, sf)
     fitted = preprocess.fit(df, FEATURES)
     rows = fitted.transform(df).select(F.col("row_id").cast("string").alias("row_id"), "label", "features")
     model = learners.fit_learner("lr", rows, SETTINGS)
@@ -423,6 +427,29 @@ def a13(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@query("a14_load_model", f"WITH {CASES_SQL} SELECT count(*) AS n FROM cases")
+def a14(spark, sf):
+    """The registered best model scores every case."""
+    folder = fresh_path(spark, "run")
+    df = cases(spark, sf)
+    training.run_matrix(df, SETTINGS, folder, [c for c in training.training_matrix() if c.model == "BASE_LR"])
+    model, meta = training.load_best(spark, folder)
+    out = scoring.score(df, model, meta["class_names"], None, ["case_id"])
+    return out.where(F.col("predicted").isNotNull() & F.col("top").between(0, 1)).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a16_metadata", f"""WITH {CASES_SQL} SELECT 'class' AS kind, outcome AS name FROM cases GROUP BY outcome
+UNION ALL SELECT 'numeric', unnest([{", ".join(f"'{c}'" for c in NUMERIC)}])
+UNION ALL SELECT 'categorical', unnest([{", ".join(f"'{c}'" for c in TEXT)}])""")
+def a16(spark, sf):
+    table_, labels, _ = training.prepare(cases(spark, sf), SETTINGS)
+    path = fresh_path(spark, "metadata")
+    training.metadata_table(table_, labels).write.parquet(path)
+    lists = {"class": "class_names", "numeric": "numeric_columns", "categorical": "categorical_columns"}
+    return spark.read.parquet(path).select(F.inline(F.flatten(F.array(*[
+        F.transform(c, lambda n, k=k: F.struct(F.lit(k).alias("kind"), n.alias("name"))) for k, c in lists.items()]))))
+
+
 @query("a15_performance")
 def a15(spark, sf):
     folder = fresh_path(spark, "run")

@@ -7,6 +7,8 @@ from cohortica.operators.quantiles import quantiles
 from cohortica.plans.cases import CASES_SQL, CLASSES, NUMERIC, cases, table
 from cohortica.plans.catalogue import query, rounded
 from cohortica.plans.catalogue.tables import REPORT_SQL, SUMMARY_SQL, reports
+from cohortica.sources.tables import load_table, save_table
+from cohortica.workspace import fresh_path, materialise
 
 LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -16,6 +18,11 @@ def _long_sql(source, cols, keep=""):
         f"SELECT {keep}'{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM {source} WHERE {c} IS NOT NULL" for c in cols)
 
 
+def _written(spark, sf):
+    """Cases, written once for operators that read their input several times."""
+    return materialise(cases(spark, sf), "cases", "case_id")
+
+
 def _lineitem(spark, sf):
     return table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", *LINE_NUMBERS)
 
@@ -119,7 +126,7 @@ SELECT "column", point, round(x, 4) AS x,
   round(sum(c * exp(-0.5 * ((value - x) / w) * ((value - x) / w))) / (n * w * sqrt(2 * pi())) * 1000, 6) AS density
 FROM grid JOIN vals USING ("column") GROUP BY "column", point, x, n, w""")
 def d7_density(spark, sf):
-    out = profile.density(cases(spark, sf).select("total_price", "n_lines"))
+    out = profile.density(_written(spark, sf).select("total_price", "n_lines"))
     return out.select("column", "point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1000, 6).alias("density"))
 
 
@@ -145,7 +152,7 @@ BOX_COLUMNS = ("class, \"column\", round(p25, 4) AS p25, round(p50, 4) AS p50, r
 
 @query("d9_boxes", f"WITH {CASES_SQL}, {_box_sql('cases', NUMERIC, 'outcome')} SELECT {BOX_COLUMNS} FROM boxes")
 def d9(spark, sf):
-    return rounded(profile.box_summary(cases(spark, sf), NUMERIC, "outcome"), 4)
+    return rounded(profile.box_summary(_written(spark, sf), NUMERIC, "outcome"), 4)
 
 
 @query("d9_outliers", f"WITH {_box_sql('events', ['value'], 'event_type')} "
@@ -162,7 +169,7 @@ SELECT 'box' AS kind, CAST(NULL AS VARCHAR) AS value, {BOX_COLUMNS} FROM boxes
 UNION ALL SELECT 'count', value, class, "column", NULL, NULL, NULL, n, NULL, NULL, NULL FROM few""")
 def d10(spark, sf):
     shown = ["total_price", "sum_qty", "acct_bal", "nation_code", "priority", "segment"]
-    return rounded(profile.feature_grid(cases(spark, sf), shown, "outcome"), 4)
+    return rounded(profile.feature_grid(_written(spark, sf), shown, "outcome"), 4)
 
 
 @query("d11_correlation", "WITH " + CASES_SQL + " UNION ALL ".join(
@@ -175,7 +182,7 @@ def d11(spark, sf):
 @query("d12_medians", "WITH " + CASES_SQL + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST(0.5 AS DOUBLE) AS prob, round(median({c}), 4) AS value FROM cases" for c in NUMERIC))
 def d12(spark, sf):
-    return rounded(quantiles(cases(spark, sf), NUMERIC, [0.5]), 4)
+    return rounded(quantiles(_written(spark, sf), NUMERIC, [0.5]), 4)
 
 
 @query("d13_options", "SELECT DISTINCT p_brand AS value FROM part")
@@ -233,6 +240,13 @@ def f1(spark, sf):
     return rounded(importance.sort_importances(_strength(spark, sf)))
 
 
+@query("a11_importance_sink", f"WITH {CASES_SQL}, {STRENGTH_SQL} SELECT feature, round(importance, 6) AS importance FROM strength")
+def a11(spark, sf):
+    path = fresh_path(spark, "importance")
+    save_table(_strength(spark, sf), path, "csv")
+    return rounded(load_table(spark, path, "csv"))
+
+
 @query("f2_first_rows", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")
 def f2(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy("o_orderkey").limit(5)
@@ -285,4 +299,4 @@ SELECT feature, round(mi, 6) AS mi, 'knn' AS method FROM knn
 UNION ALL SELECT feature, round(mi, 6), 'discrete' FROM discrete""")
 def i25(spark, sf):
     cols = ["total_price", "sum_qty", "acct_bal", "nation_code", "segment", "priority"]
-    return rounded(importance.mutual_information(cases(spark, sf), cols, "outcome"))
+    return rounded(importance.mutual_information(_written(spark, sf), cols, "outcome"))

@@ -30,14 +30,22 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialise(df: DataFrame, name: str, deal_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
-    Cuts lineage and survives lost executors; later readers still prune columns."""
-    path = fresh_path(df.sparkSession, name)
+    Cuts lineage and survives lost executors; later readers still prune columns. With
+    ``deal_by``, a key column, rows are dealt evenly over the shuffle partitions first:
+    for tables that many passes read."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    if deal_by:
+        df = df.repartition(shuffle_partitions(spark), deal_by)
     df.write.parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
-    return written
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
