@@ -64,7 +64,7 @@ class Settings:
     row_id: str = "row_id"
     # Fits that may run side by side on the cluster.
     parallel_fits: int = 4
-    # Partitions of the fixed row layout that forests see; 0 takes the session's shuffle partitions.
+    # Partitions of the fixed row layout that forests see; 0 takes a number by rows, up to the shuffle partitions.
     tree_partitions: int = 0
 
     def small(self) -> "Settings":

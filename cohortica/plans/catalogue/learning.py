@@ -238,6 +238,14 @@ fa AS (SELECT model, fold, class, sum(hit) AS pos, (sum(CASE WHEN hit = 1 THEN C
 fold_auc AS (SELECT model, fold, sum(auc * pos) / sum(pos) AS roc_auc FROM fa GROUP BY ALL)"""
 
 
+@query("i19_boost_search")
+def i19(spark, sf):
+    table_, _, _ = training.prepare(cases(spark, sf), SETTINGS)
+    train = table_.where("not is_test").drop("is_test")
+    config = next(c for c in training.training_matrix() if c.model == "BASE_XGB_GRID")
+    return rounded(training.search(train, config, SETTINGS)[1])
+
+
 @query("i17_rank_candidates", f"""WITH {FOLD_SCORES_SQL} SELECT model AS candidate, round(avg(roc_auc), 6) AS mean_score
 FROM fold_auc GROUP BY model""")
 def i17_rank(spark, sf):
@@ -445,9 +453,12 @@ def a16(spark, sf):
     table_, labels, _ = training.prepare(cases(spark, sf), SETTINGS)
     path = fresh_path(spark, "metadata")
     training.metadata_table(table_, labels).write.parquet(path)
-    lists = {"class": "class_names", "numeric": "numeric_columns", "categorical": "categorical_columns"}
-    return spark.read.parquet(path).select(F.inline(F.flatten(F.array(*[
-        F.transform(c, lambda n, k=k: F.struct(F.lit(k).alias("kind"), n.alias("name"))) for k, c in lists.items()]))))
+
+    def tagged(kind, column):
+        return F.transform(column, lambda name: F.struct(F.lit(kind).alias("kind"), name.alias("name")))
+
+    return spark.read.parquet(path).select(F.inline(F.concat(
+        tagged("class", "class_names"), tagged("numeric", "numeric_columns"), tagged("categorical", "categorical_columns"))))
 
 
 @query("a15_performance")

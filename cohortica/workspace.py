@@ -38,12 +38,12 @@ def materialise(df: DataFrame, name: str, deal_by: str | None = None) -> DataFra
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Cuts lineage and survives lost executors; later readers still prune columns. With
-    ``deal_by``, a key column, rows are dealt evenly over the shuffle partitions first:
-    for tables that many passes read."""
+    ``deal_by``, a key column, rows are first dealt evenly over partitions of adaptive
+    number: for tables that many passes read."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     if deal_by:
-        df = df.repartition(shuffle_partitions(spark), deal_by)
+        df = df.repartition(deal_by)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
