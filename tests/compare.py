@@ -59,7 +59,8 @@ def main(sf: str, names: list[str]) -> int:
     import __spark_entry__ as entry
 
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
