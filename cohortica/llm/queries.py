@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortica.llm import adaptive_scan, cap_filters
+from cohortica.llm import adaptive_scan, cap_filters, key_index, piece_codec, secret_scan
 from cohortica.llm.common import table
 
 ORACLES: dict = {}
@@ -18,7 +18,23 @@ def op3_adaptive_scan(spark, sf_dir):
     return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan)}
+def op7_key_index(spark, sf_dir):
+    import public_tokenizers
+
+    return key_index.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_piece_codec(spark, sf_dir):
+    import public_tokenizers
+
+    return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op7_key_index, op9_secret_scan, op10_piece_codec)}
 
 ORACLES["op1_cap_filters"] = """
 WITH RECURSIVE ok AS (
@@ -35,5 +51,3 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, m AS component_id, e.vec_id = m AS k
 FROM embeddings e JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = e.vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a = e.vec_id
 """
-ORACLES["op3_adaptive_scan"] = None
-ORACLES = {k: v for k, v in ORACLES.items() if v}
