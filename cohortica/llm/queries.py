@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortica.llm import adaptive_scan, cap_filters, key_index, piece_codec, secret_scan
+from cohortica.llm import adaptive_scan, cap_filters, key_index, piece_codec, prefix_join, secret_scan
 from cohortica.llm.common import table
 
 ORACLES: dict = {}
@@ -24,6 +24,10 @@ def op7_key_index(spark, sf_dir):
     return key_index.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_prefix_join(spark, sf_dir):
+    return prefix_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op7_key_index, op9_secret_scan, op10_piece_codec)}
+QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op7_key_index, op8_prefix_join, op9_secret_scan, op10_piece_codec)}
 
 ORACLES["op1_cap_filters"] = """
 WITH RECURSIVE ok AS (
