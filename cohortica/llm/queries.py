@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortica.llm import adaptive_scan, cap_filters, key_index, piece_codec, prefix_join, secret_scan
-from cohortica.llm.common import table
+from cohortica.llm import adaptive_scan, byte_network, cap_filters, key_index, pair_ranking, piece_codec, prefix_join, secret_scan
+from cohortica.llm.common import held_out, table
 
 ORACLES: dict = {}
 
@@ -18,6 +18,19 @@ def op3_adaptive_scan(spark, sf_dir):
     return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_byte_network(spark, sf_dir):
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
+    network = byte_network.train(docs.where(~out))
+    found = byte_network.predict(docs, network)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_pair_ranking(spark, sf_dir):
+    docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    ranker = pair_ranking.train(docs, table(spark, sf_dir, "labels").where(~out))
+    return pair_ranking.score(docs, ranker).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op7_key_index(spark, sf_dir):
     import public_tokenizers
 
@@ -38,7 +51,7 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op7_key_index, op8_prefix_join, op9_secret_scan, op10_piece_codec)}
+QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op4_byte_network, op6_pair_ranking, op7_key_index, op8_prefix_join, op9_secret_scan, op10_piece_codec)}
 
 ORACLES["op1_cap_filters"] = """
 WITH RECURSIVE ok AS (
