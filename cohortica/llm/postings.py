@@ -11,7 +11,7 @@ from cohortica.llm.cap_filters import _roots
 from cohortica.llm.common import Written, components, runs
 
 # Postings a task packs at a time, and postings a bucket is meant to hold in a reducing task.
-PACK, BUCKET = 2_000_000, 1_500_000
+PACK, BUCKET = 500_000, 1_500_000
 # Lists up to this size are paired member by member; longer ones meet in blocks, and no pair of theirs is listed.
 SHORT_LIST, BLOCK_ROWS = 24, 512
 BLOOM_BITS = 1 << 25
@@ -26,39 +26,92 @@ def mix(z: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Hashes of words (runs of anything but ASCII white space, A-Z lower-cased) and of their shingles."""
-
-    def __init__(self, width: int = 5, memory: int = 500_000):
-        self.width, self.memory, self.seen = width, memory, {}
-
-    def words(self, text: str) -> np.ndarray:
-        import xxhash
-
-        seen, hash64 = self.seen, xxhash.xxh3_64_intdigest
-        if len(seen) > self.memory:
-            seen.clear()
-        words = text.encode("utf-8", "replace").lower().split()
-        out = []
-        for w in words:
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = hash64(w)
-            out.append(h)
-        return np.array(out, np.uint64)
-
-    def shingles(self, words: np.ndarray) -> np.ndarray:
-        """One hash per run of ``width`` words; fewer words than that are one shingle, no words none."""
-        if not len(words):
-            return words
-        width = min(self.width, len(words))
-        with np.errstate(over="ignore"):
-            total = np.full(len(words) - width + 1, width, np.uint64)
-            for k in range(width):
-                total = total * M1 + mix(words[k:len(words) - width + 1 + k] + np.uint64(k))
-            return mix(total)
+    """Hashes of words (runs of anything but ASCII white space, A-Z lower-cased) and of their shingles.
+
+    Works on the bytes of an Arrow column, some hundred kilobytes at a time, without a Python object per text or word."""
+
+    CHUNK = 1 << 19
 
-    def set_of(self, text: str | None) -> np.ndarray:
-        return np.unique(self.shingles(self.words(text))) if text else np.zeros(0, np.uint64)
+    def __init__(self, width: int = 5, seed: int = 17, fold: bool = True):
+        self.width = width
+        letters = np.arange(256, dtype=np.uint8)
+        if fold:
+            letters[65:91] += 32
+        # A value per byte, upper and lower case alike; white space is told by its own table.
+        self.values = np.random.RandomState(seed).randint(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)[letters] * np.uint64(2) + np.uint64(1)
+        self.blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self._powers(self.CHUNK + 1)
+
+    def _powers(self, n: int) -> None:
+        """Powers of an odd factor and of its inverse modulo 2^64: a stretch of a running sum, moved to its start."""
+        factor, inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+        with np.errstate(over="ignore"):
+            self.power, self.inverse = (
+                np.multiply.accumulate(np.r_[np.uint64(1), np.full(n, f, np.uint64)]) for f in (factor, inverse))
+
+    def words(self, column):
+        """Per chunk of an Arrow string column: texts' first words (and the end), word hashes, the bytes of the chunk,
+        where its texts begin in them (and the end), and where words start and end."""
+        buffers, n = column.buffers(), len(column)
+        if not n:
+            return
+        offsets = np.frombuffer(buffers[1], np.int64 if str(column.type) == "large_string" else np.int32, n + 1 + column.offset)[column.offset:].astype(np.int64)
+        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
+        at = 0
+        while at < n:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + self.CHUNK, side="right")) - 1)
+            own, bounds = data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at]
+            firsts, hashes, starts, ends = self._chunk(own, bounds)
+            yield firsts, hashes, own, bounds, starts, ends
+            at = end
+
+    def _chunk(self, data: np.ndarray, bounds: np.ndarray):
+        if len(data) >= len(self.power):
+            self._powers(2 * len(data))
+        inside = ~self.blank[data]
+        begin, stop = inside.copy(), inside.copy()
+        begin[1:] &= ~inside[:-1]
+        stop[:-1] &= ~inside[1:]
+        cuts = bounds[(bounds > 0) & (bounds < len(data))]
+        begin[cuts] = inside[cuts]
+        stop[cuts - 1] = inside[cuts - 1]
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(self.values[data] * self.power[:len(data)], out=sums[1:])
+            hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts])
+        return np.searchsorted(starts, bounds), hashes, starts, ends
+
+    def rolled(self, words: np.ndarray) -> np.ndarray:
+        """The hash of every run of ``width`` words."""
+        n = len(words) - self.width + 1
+        if n <= 0:
+            return words[:0]
+        with np.errstate(over="ignore"):
+            total = words[:n] * M1
+            for k in range(1, self.width):
+                total += words[k:n + k]
+                total *= M1
+            return mix(total + np.uint64(self.width))
+
+    def short(self, words: np.ndarray) -> np.ndarray:
+        """The one shingle of fewer words than ``width``."""
+        with np.errstate(over="ignore"):
+            total = np.uint64(0)
+            for w in words:
+                total = (total + w) * M1
+            return mix(np.array([total + np.uint64(len(words))]))
+
+    def sets(self, column):
+        """The sorted set of shingle hashes of each text: fewer words than a shingle are one shingle, no words none."""
+        for firsts, words, *_ in self.words(column):
+            rolled = self.rolled(words)
+            for a, b in zip(firsts[:-1], firsts[1:]):
+                if b - a >= self.width:
+                    own = np.sort(rolled[a:b - self.width + 1])
+                    yield own[np.r_[True, own[1:] != own[:-1]]]
+                else:
+                    yield self.short(words[a:b]) if b > a else words[:0]
 
 
 def identity(values: np.ndarray) -> int:
@@ -117,13 +170,17 @@ def repeated(key: np.ndarray, item: np.ndarray) -> np.ndarray:
 
 
 def bloom(items: DataFrame) -> np.ndarray:
-    """A filter of ``BLOOM_BITS`` bits over the column ``item``: its size never grows. Once full it keeps everything."""
-    chunk = 1 << 15
+    """A filter of ``BLOOM_BITS`` bits over the column ``item``, with the row's ``id`` (a text) if there is one: its size
+    never grows. Once full it keeps everything."""
+    chunk, with_id = 1 << 15, "id" in items.columns
 
     def bits(batches):
         held = {}
         for pdf in batches:
-            at = np.unique(bloom_places(pdf["item"].to_numpy()).ravel())
+            named = pdf["item"].to_numpy()
+            if with_id:
+                named = named_by(named, pdf["id"])
+            at = np.unique(bloom_places(named).ravel())
             for c in np.unique(at >> 15):
                 own = held.setdefault(int(c), np.zeros(chunk // 8, np.uint8))
                 np.bitwise_or.at(own, (at[at >> 15 == c] & (chunk - 1)) >> 3, (1 << (at[at >> 15 == c] & 7)).astype(np.uint8))
@@ -134,11 +191,18 @@ def bloom(items: DataFrame) -> np.ndarray:
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["bits"]]).tobytes()]})
 
     out = np.zeros(BLOOM_BITS // 8, np.uint8)
-    for c, b in items.select("item").mapInPandas(bits, "chunk int, bits binary").groupBy("chunk").applyInPandas(either, "chunk int, bits binary").collect():
+    for c, b in items.select("item", *["id"] * with_id).mapInPandas(bits, "chunk int, bits binary").groupBy("chunk").applyInPandas(either, "chunk int, bits binary").collect():
         out[c * chunk // 8:(c + 1) * chunk // 8] = np.frombuffer(b, np.uint8)
     return out
 
 
+def named_by(items: np.ndarray, ids) -> np.ndarray:
+    """One name for an item and the id of a row that holds it."""
+    import xxhash
+
+    return items ^ np.array([xxhash.xxh64_intdigest("" if i is None else i) >> 1 for i in ids], np.int64)
+
+
 def bloom_places(items: np.ndarray) -> np.ndarray:
     z = mix(items.astype(np.int64).view(np.uint64) + M1)
     return np.stack([(z >> np.uint64(s)) & np.uint64(BLOOM_BITS - 1) for s in (0, 19, 38)], axis=1).astype(np.int64)
@@ -175,13 +239,56 @@ def sizes_fit(threshold: int, a: str, b: str):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * threshold)
 
 
-def connect(lists: DataFrame, stars: DataFrame, sets: DataFrame, threshold: int, name: str) -> Written:
+def parity(values: np.ndarray) -> bytes:
+    """A bitmap of about one bit per element: whether an odd number of elements falls on each place."""
+    places = 1 << max(6, (len(values) - 1).bit_length())
+    odd = np.bincount((values & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def sieve(pairs: DataFrame, bitmaps: DataFrame, threshold: int) -> DataFrame:
+    """``pairs`` (a, b) without those whose bitmaps (item, n, bitmap) prove them too unlike.
+
+    Each place where two bitmaps differ holds an element that only one set has, so the sets differ in at least that
+    many. The longer bitmap folds onto the shorter one."""
+
+    def live(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                while len(x) != len(y):
+                    if len(x) > len(y):
+                        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+                    else:
+                        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+                inter = (n + m - int(np.bitwise_count(x ^ y).sum())) // 2
+                keep.append(100 * inter >= threshold * (n + m - inter))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda c: bitmaps.select(F.col("item").alias(c), F.col("n").alias(f"n{c}"), F.col("bitmap").alias(f"m{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(live, "a long, b long")
+
+
+def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str, bitmaps: DataFrame | None = None) -> Written:
     """Components of all items linked by similarity, among those that share a list.
 
     ``lists`` (key, item, n): every two linked items share a key. ``stars`` (a, b): pairs to try first, linear in the
-    lists. Items already connected need no further test; so after the stars only lists that still span several
-    components are searched: short ones pair by pair, long ones in blocks whose pairs are never listed."""
-    first = Written(similar(stars, sets, threshold), f"{name}-links")
+    lists. ``fetch`` gives the sets (item, tokens) of at least the items of a frame; ``bitmaps`` sieve pairs before.
+    Items already connected need no further test; so after the stars only lists that still span several components
+    are searched: short ones pair by pair, long ones in blocks whose pairs are never listed."""
+
+    def verified(pairs: DataFrame, step: str) -> Written:
+        left = Written(sieve(pairs, bitmaps, threshold) if bitmaps is not None else pairs, f"{name}-{step}-pairs")
+        sets = Written(fetch(left.df.select(F.col("a").alias("item")).union(left.df.select("b")).distinct()), f"{name}-{step}-sets")
+        linked = Written(similar(left.df, sets.df, threshold), f"{name}-{step}-links")
+        left.drop()
+        sets.drop()
+        return linked
+
+    first = verified(stars, "star")
     known = components(first.df, f"{name}-first")
     placed = lists.join(known.df.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     spread = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y")
@@ -206,8 +313,9 @@ def connect(lists: DataFrame, stars: DataFrame, sets: DataFrame, threshold: int,
         .withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "item", "component")
-        .join(sets.select("item", "tokens"), "item")
     )
+    held = Written(fetch(long.select("item").distinct()), f"{name}-block-sets")
+    long = long.join(held.df, "item")
     keys = ["key", "i", "j"]
 
     def block(batches):
@@ -224,9 +332,9 @@ def connect(lists: DataFrame, stars: DataFrame, sets: DataFrame, threshold: int,
                     yield pd.DataFrame({"a": item, "b": _roots(linked[np.ix_(at, at)], item)}).query("a != b")
 
     met = long.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "part", "item", "tokens").mapInPandas(block, "a long, b long")
-    second = Written(similar(pairs, sets, threshold).union(met.distinct()), f"{name}-more")
-    both = components(first.df.union(second.df), f"{name}-components")
-    for w in (known, open_lists, second, first):
+    second, third = verified(pairs, "short"), Written(met.distinct(), f"{name}-long-links")
+    both = components(first.df.union(second.df).union(third.df), f"{name}-components")
+    for w in (known, open_lists, held, third, second, first):
         w.drop()
     return both
 

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.common import Written, runs
-from cohortica.llm.postings import BUCKET, Packer, Shingler, bloom, bucket_of, connect, identity, in_bloom, mix, repeated, sizes_fit
+from cohortica.llm.postings import BUCKET, Packer, Shingler, bloom, bucket_of, connect, identity, in_bloom, mix, named_by, parity, repeated, sizes_fit
 
 # Places of the frequency sketch that orders shingles: one byte each, sent to every task. Fixed, whatever the input.
-SKETCH = 1 << 22
+SKETCH = 1 << 24
 
 
 def _sketch_places(values: np.ndarray) -> np.ndarray:
@@ -24,9 +24,9 @@ def _buckets(chars: int, share: float) -> int:
 
 
 def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
-    """Levels (log2 of the number of documents) of the most frequent shingles, hashed into ``SKETCH`` places.
+    """Levels (log2 of the number of documents, 2 at least) of the most frequent shingles, hashed into ``SKETCH`` places.
 
-    All shingles of all documents are counted. As many levels are kept, from the top, as fit a quarter of the places;
+    All shingles of all documents are counted. As many levels are kept, from the top, as fit three quarters of the places;
     the rest have level 0. The levels only order shingles, so whatever they are the join stays exact."""
 
     def count(batches):
@@ -44,12 +44,11 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
 
         size = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = shingler.set_of(text)
+            for own in shingler.sets(batch.column(0)):
                 if len(own):
                     held.append(own)
                     size += len(own)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield flush()
                     size = 0
         if size:
@@ -65,7 +64,7 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
                 keys, counts = keys[order], counts[order]
                 starts_ = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
                 total = np.add.reduceat(counts, starts_)
-                often = total >= 4
+                often = total >= 2
                 level = np.log2(total[often]).astype(np.int64)
                 names = keys[starts_][often]
                 bucket = int(own["bucket"].iloc[0])
@@ -74,7 +73,7 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
 
     counted = texts.mapInArrow(count, "bucket int, keys binary, counts binary")
     often = Written(counted.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(levels, "bucket int, level int, n long, keys binary"), "prefix-levels")
-    sketch, room, lowest = np.zeros(SKETCH, np.uint8), SKETCH // 4, 99
+    sketch, room, lowest = np.zeros(SKETCH, np.uint8), SKETCH * 3 // 4, 99
     for level, n in often.df.groupBy("level").agg(F.sum("n")).orderBy(F.desc("level")).collect():  # at most 64 rows
         if n > room:
             break
@@ -121,39 +120,38 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
         import pyarrow as pa
 
         shingler, packer, seen = Shingler(width), Packer(buckets, ["<i8", "<i4", "<i4"]), set()
-        names = ["bucket", "id", "item", "group", "n", "keys", "groups", "sizes", "places"]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+        names = ["bucket", "id", "item", "group", "n", "bitmap", "keys", "groups", "sizes", "places"]
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
 
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
             out = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = shingler.set_of(text)
+            for k, (i, own) in enumerate(zip(batch.column(0).to_pylist(), shingler.sets(batch.column(1)))):
                 if not len(own):
-                    out.append((0, i, None, None, 0, *[None] * 4))
+                    out.append((k % buckets, i, None, None, 0, *[None] * 5))
                     continue
                 item, n = identity(own), len(own)
                 first = ordered(own, sketch, buckets)[:prefix_length(n, threshold)]
                 group = identity(np.append(first, np.uint64(n)))
-                out.append(((item >> 8) % buckets, i, item, group, n, *[None] * 4))
+                out.append(((item ^ k) % buckets, i, item, group, n, parity(own), *[None] * 4))
                 if group not in seen:  # copies within a task add nothing to the lists
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(group)
                     packer.add(first, group, n, np.arange(len(first)))
                 if packer.full():
-                    yield batch_of([(b, None, None, None, None, *cells) for b, cells in packer.pack()])
+                    yield batch_of([(b, None, None, None, None, None, *cells) for b, cells in packer.pack()])
             yield batch_of(out)
         if packer.count:
-            yield batch_of([(b, None, None, None, None, *cells) for b, cells in packer.pack()])
+            yield batch_of([(b, None, None, None, None, None, *cells) for b, cells in packer.pack()])
 
     def gather(batches):
         import pyarrow as pa
 
-        names = ["id", "item", "group", "n", "key", "place"]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        names = ["id", "item", "group", "n", "bitmap", "key", "place"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32()]
         held, bucket = [], None
 
         def lists():
@@ -162,14 +160,14 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
             if not len(at):
                 return None
             nothing = [pa.nulls(len(at), t) for t in kinds[:2]]
-            return pa.RecordBatch.from_arrays([*nothing, pa.array(group[at]), pa.array(size[at]), pa.array(bucket << 32 | key[at].astype(np.int64)), pa.array(place[at])], names=names)
+            return pa.RecordBatch.from_arrays([*nothing, pa.array(group[at]), pa.array(size[at]), pa.nulls(len(at), kinds[4]), pa.array(bucket << 32 | key[at].astype(np.int64)), pa.array(place[at])], names=names)
 
         for batch in batches:
-            documents = batch.filter(batch.column(5).is_null())
+            documents = batch.filter(batch.column(6).is_null())
             if len(documents):
-                yield pa.RecordBatch.from_arrays([*[documents.column(k) for k in (1, 2, 3, 4)], pa.nulls(len(documents), kinds[4]), pa.nulls(len(documents), kinds[5])], names=names)
-            packed = batch.filter(batch.column(5).is_valid())
-            for b, *cells in zip(packed.column(0).to_pylist(), *(packed.column(k).to_pylist() for k in (5, 6, 7, 8))):
+                yield pa.RecordBatch.from_arrays([*[documents.column(k) for k in (1, 2, 3, 4, 5)], pa.nulls(len(documents), kinds[5]), pa.nulls(len(documents), kinds[6])], names=names)
+            packed = batch.filter(batch.column(6).is_valid())
+            for b, *cells in zip(packed.column(0).to_pylist(), *(packed.column(k).to_pylist() for k in (6, 7, 8, 9))):
                 if b != bucket and held:
                     out = lists()
                     held = []
@@ -182,10 +180,10 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
             if out:
                 yield out
 
-    posted = rows.mapInArrow(post, "bucket int, id string, item long, group long, n int, keys binary, groups binary, sizes binary, places binary")
+    posted = rows.mapInArrow(post, "bucket int, id string, item long, group long, n int, bitmap binary, keys binary, groups binary, sizes binary, places binary")
     found = Written(
-        posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "id string, item long, group long, n int, key long, place int"), "prefix-lists")
-    documents = found.df.where("key IS NULL").select("id", "item", "group", "n")
+        posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "id string, item long, group long, n int, bitmap binary, key long, place int"), "prefix-lists")
+    documents = found.df.where("key IS NULL").select("id", "item", "group", "n", "bitmap")
     members = documents.where("item IS NOT NULL").groupBy("group", "item").agg(F.min("n").alias("n"))
     lists = found.df.where("key IS NOT NULL").select("key", "group", "n", "place")
     # A group of several members is a list of its own.
@@ -203,10 +201,15 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     items = Written(
         lists.join(members.select("group", "item"), "group").select("key", "item", "n")
         .union(shared.select(F.col("group").alias("key"), "item", "n")), "prefix-items")
-    sets = Written(token_sets(rows, bloom(items.df.select("item").distinct()), width), "prefix-sets")
-    linked = connect(items.df, stars, sets.df, threshold, "prefix")
+    # Each set and bitmap is taken from one of its documents.
+    homes = documents.where("item IS NOT NULL").groupBy("item").agg(F.min("id").alias("id"))
+    bitmaps = Written(
+        documents.join(items.df.select("item").distinct(), "item", "left_semi").groupBy("item")
+        .agg(F.min("n").alias("n"), F.min("bitmap").alias("bitmap")), "prefix-bitmaps")
+    linked = connect(
+        items.df, stars, lambda wanted: token_sets(rows, bloom(wanted.join(homes, "item")), width), threshold, "prefix", bitmaps.df)
     items.drop()
-    sets.drop()
+    bitmaps.drop()
     own = documents.select(F.col("id").cast(kind).alias("id"), "item", "n")
     lows = own.where("item IS NOT NULL").groupBy("item").agg(F.min("id").alias("low")).join(linked.df.withColumnRenamed("node", "item"), "item", "left")
     lows = lows.withColumn("component", F.coalesce("component", "item"))
@@ -220,24 +223,24 @@ def token_sets(rows: DataFrame, wanted: np.ndarray, width: int) -> DataFrame:
     """(item, tokens): the sets of the items that the filter lets through, once each."""
 
     def pick(batches):
+        import pyarrow as pa
+
         shingler, seen = Shingler(width), set()
         for batch in batches:
+            own = [x for x in shingler.sets(batch.column(1))]
+            names = np.array([identity(x) if len(x) else 0 for x in own], np.int64)
+            live = in_bloom(wanted, named_by(names, batch.column(0).to_pylist())) if len(names) else names
             items, sets = [], []
-            for text in batch.column(0).to_pylist():
-                own = shingler.set_of(text)
-                if len(own):
-                    item = identity(own)
-                    if item not in seen and in_bloom(wanted, np.array([item]))[0]:
-                        if len(seen) > 500_000:
-                            seen.clear()
-                        seen.add(item)
-                        items.append(item)
-                        sets.append(own.tobytes())
-            import pyarrow as pa
-
+            for k in np.flatnonzero(live):
+                if len(own[k]) and names[k] not in seen:
+                    seen.add(names[k])
+                    items.append(names[k])
+                    sets.append(own[k].tobytes())
+            if len(seen) > 500_000:
+                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(sets, pa.binary())], names=["item", "tokens"])
 
-    return rows.select("text").mapInArrow(pick, "item long, tokens binary").dropDuplicates(["item"])
+    return rows.mapInArrow(pick, "item long, tokens binary").dropDuplicates(["item"])
 
 
 def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
