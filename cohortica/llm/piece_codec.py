@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -256,8 +257,8 @@ def decode(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "id
     return _rows(df, id_col, ids_col, make, "text string")
 
 
-def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again.
+def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again; ``with_ids`` adds ids.
 
     One row per input row; null and empty texts have no ids and the digests of empty texts."""
     vocabulary = Vocabulary(model)
@@ -268,9 +269,10 @@ def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "
             rows = []
             for t in pdf["text"]:
                 n, ids, text = encoder.digest(t or "")
-                rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                row = (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
+                rows.append((*row, np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32)) if with_ids else row)
+            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
             out.insert(0, "id", pdf["id"].to_numpy())
             yield out
 
-    return _rows(df, id_col, text_col, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _rows(df, id_col, text_col, make, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortica.llm import adaptive_scan, byte_network, cap_filters, key_index, pair_ranking, piece_codec, prefix_join, secret_scan
+from cohortica.llm import adaptive_scan, byte_network, cap_filters, key_index, pair_ranking, paragraph_bands, piece_codec, prefix_join, secret_scan, soft_mixing
 from cohortica.llm.common import held_out, table
 
 ORACLES: dict = {}
@@ -14,6 +14,14 @@ def op1_cap_filters(spark, sf_dir):
     return cap_filters.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# Shares of tokens that the mixing queries aim at.
+WEIGHTS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
+
+
+def op2_soft_mixing(spark, sf_dir):
+    return soft_mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), WEIGHTS)
+
+
 def op3_adaptive_scan(spark, sf_dir):
     return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -25,6 +33,10 @@ def op4_byte_network(spark, sf_dir):
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_paragraph_bands(spark, sf_dir):
+    return paragraph_bands.repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_pair_ranking(spark, sf_dir):
     docs, out = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
     ranker = pair_ranking.train(docs, table(spark, sf_dir, "labels").where(~out))
@@ -51,13 +63,13 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cap_filters, op3_adaptive_scan, op4_byte_network, op6_pair_ranking, op7_key_index, op8_prefix_join, op9_secret_scan, op10_piece_codec)}
+QUERIES = {f.__name__: f for f in (op1_cap_filters, op2_soft_mixing, op3_adaptive_scan, op4_byte_network, op5_paragraph_bands, op6_pair_ranking, op7_key_index, op8_prefix_join, op9_secret_scan, op10_piece_codec)}
 
 ORACLES["op1_cap_filters"] = """
 WITH RECURSIVE ok AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.v, b.v) >= 0.98
