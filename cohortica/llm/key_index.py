@@ -2,8 +2,9 @@
 
 File formats (all numbers little-endian).
 
-Shard ``shard-NNNNNN.bin``: magic ``IDSHARD1``, u64 rows, u64 ids; then the ids of all rows as u32; then rows + 1
-offsets (u64, in ids). Rows stand in ascending key order, shards follow one another in that order.
+Shard ``shard-NNNNNN.bin``: magic ``IDSHARD1``, u64 rows, u64 ids, u64 width; then the ids of all rows, ``width`` bytes
+each (2 if the vocabulary has at most 65,536 ids, else 4); then rows + 1 offsets (u64, in ids). Rows stand in ascending
+key order, shards follow one another in that order.
 
 Index ``index-NNNNNN.bin``: magic ``IDINDEX1``, u64 keys, u64 levels; the number of bits of each level (u64); the bits
 of all levels, packed (padded to 64); one rank (u64) per 512 bits; then one slot per key, of 32 bytes: u32
@@ -13,7 +14,7 @@ fingerprint, u32 first shard, u64 first row, u32 last shard, u32 zero, u64 last
 from __future__ import annotations
 
 import os
-import zlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -22,12 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.llm.common import Written, runs
+from cohortica.llm.postings import Shingler
 from cohortica.workspace import fresh_path
 
 SHARD_MAGIC, INDEX_MAGIC = b"IDSHARD1", b"IDINDEX1"
 SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("row", "<u8"), ("last_shard", "<u4"), ("zero", "<u4"), ("last_row", "<u8")])
-# Chunks of a text this long or longer are encoded without being remembered; the memory is emptied beyond its size.
-LONG_CHUNK, MEMORY = 64, 400_000
+# Chunks that a task remembers; the memory is emptied beyond that.
+MEMORY = 1_000_000
 
 
 def open_store(path: str):
@@ -146,56 +148,134 @@ class IndexFile:
 class ShardFile:
     """Random access to one shard: the header and any stretch of rows."""
 
+    HEAD = 32
+
     def __init__(self, path: str):
         store, at = open_store(path)
         self.file = store.open_input_file(at)
-        head = self.file.read_at(24, 0)
+        head = self.file.read_at(self.HEAD, 0)
         if head[:8] != SHARD_MAGIC:
             raise ValueError(f"{path} is no shard")
-        self.rows, self.ids = (int(x) for x in np.frombuffer(head, "<u8", 2, 8))
+        self.rows, self.ids, self.width = (int(x) for x in np.frombuffer(head, "<u8", 3, 8))
 
     def offsets(self, first: int, last: int) -> np.ndarray:
         """Offsets of rows first to last and of the row after."""
-        return np.frombuffer(self.file.read_at(8 * (last - first + 2), 24 + 4 * self.ids + 8 * first), "<u8").astype(np.int64)
+        return np.frombuffer(self.file.read_at(8 * (last - first + 2), self.HEAD + self.width * self.ids + 8 * first), "<u8").astype(np.int64)
 
-    def payload(self, start: int, end: int) -> bytes:
-        return self.file.read_at(4 * (end - start), 24 + 4 * start)
+    def payload(self, start: int, end: int) -> np.ndarray:
+        """Ids as u32."""
+        data = self.file.read_at(self.width * (end - start), self.HEAD + self.width * start)
+        return np.frombuffer(data, f"<u{self.width}").astype("<u4")
 
     def close(self) -> None:
         self.file.close()
 
 
 class ChunkEncoder:
-    """Ids of whole texts as little-endian u32 bytes, by the tokenizers library.
+    """Ids of whole texts by the tokenizers library.
+
+    The tokenizer drops white space and never joins across it, and it parts letters from marks. So texts are cut at ASCII
+    white space and before the ASCII marks that end a chunk after a letter; each distinct piece (named by a 64-bit hash)
+    is encoded once while it is remembered."""
 
-    The tokenizer drops white space and never joins across it, so texts are cut at blanks, tabs and line ends and each
-    distinct chunk is encoded once while it is remembered."""
+    # No apostrophe, which may begin a suffix, and no bracket of a special token.
+    MARKS = b"!#$%&*+,./:;=?@|~-"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.seen = Tokenizer.from_file(path), {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.seen) > MEMORY:
-            self.seen = {"": b""}
-        seen = self.seen
-        new = [*{c for chunks in cut for c in chunks if c not in seen}]
-        for s in range(0, len(new), 20_000):
-            part = new[s:s + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                seen[c] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([seen[c] for c in chunks]) for chunks in cut]
-        for c in new:
-            if len(c) >= LONG_CHUNK:
-                del seen[c]
-        return out
+        self.tokenizer, self.cutter = Tokenizer.from_file(path), Shingler(fold=False)
+        self.cutter.CHUNK = 1 << 21
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.mark = np.isin(np.arange(256), np.frombuffer(self.MARKS, np.uint8))
+        self.letter = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+        # Letters that neither normal form nor case folding can join with others.
+        self.plain = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+        self._forget()
+
+    def _forget(self) -> None:
+        """Numbers of known pieces by hash; ids of all of them in one array, with starts and sizes by number."""
+        self.numbers = {}
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, f"<u{self.width}"), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def encode(self, column, end_id: int):
+        """(ids per text with the end id, all those ids) for stretches of an Arrow string column, in order."""
+        for firsts, _, data, _, starts, ends in self.cutter.words(column, hashed=False):
+            if len(self.numbers) > MEMORY or self.used > 8 * MEMORY:
+                self._forget()
+            firsts, words, starts, ends = self._without_marks(firsts, data, starts, ends)
+            distinct, first, place = np.unique(words, return_index=True, return_inverse=True)
+            get = self.numbers.get
+            number = np.array([get(h, -1) for h in distinct.tolist()], np.int64)
+            new = np.flatnonzero(number < 0)
+            if len(new):
+                at, raw = first[new], data.tobytes()
+                number[new] = self._learn(distinct[new], [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+            own = number[place]
+            size = self.sizes[own]
+            total = np.r_[0, np.cumsum(size)]
+            source = np.repeat(self.starts[own] - total[:-1], size) + np.arange(total[-1])
+            bounds = total[firsts]  # ids before each text
+            texts = len(firsts) - 1
+            out = np.full(total[-1] + texts, end_id, self.ids.dtype)
+            out[np.arange(total[-1]) + np.repeat(np.arange(texts), np.diff(bounds))] = self.ids[source]
+            yield np.diff(bounds) + 1, out
+
+    def _without_marks(self, firsts, data, starts, ends):
+        """The chunks with marks that end them after a letter cut off, as pieces of their own."""
+        if not len(starts):
+            return firsts, np.zeros(0, np.uint64), starts, ends
+        last = np.maximum.accumulate(np.where(self.mark[data], -1, np.arange(len(data))))[ends - 1]
+        cut = (last >= starts) & (last < ends - 1)
+        cut[cut] = self.letter[data[last[cut]]]
+        piece = np.repeat(np.arange(len(starts)), 1 + cut)
+        tail = np.r_[False, piece[1:] == piece[:-1]]
+        head = np.r_[tail[1:], False]
+        begin, stop = starts[piece], ends[piece]
+        begin[tail], stop[head] = last[piece[tail]] + 1, last[piece[head]] + 1
+        return np.r_[0, np.cumsum(1 + cut)][firsts], self.cutter.hashed(data, begin, stop), begin, stop
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> np.ndarray:
+        """Numbers for new pieces. Words of plain letters go many to a text: the library tells which word an id is of."""
+        plain = np.array([self.plain(c) is not None for c in pieces])
+        number, known = np.zeros(len(pieces), np.int64), len(self.numbers)
+        order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+        number[order] = known + np.arange(len(pieces))
+        ids, sizes, words = [], [], [pieces[k] for k in order[: plain.sum()]]
+        for s in range(0, len(words), 4000):
+            e = self.tokenizer.encode(" ".join(words[s:s + 4000]), add_special_tokens=False)
+            ids.append(np.array(e.ids, self.ids.dtype))
+            sizes.append(np.bincount(_ranks(np.array(e.word_ids))))
+            if len(sizes[-1]) != len(words[s:s + 4000]):
+                raise ValueError("the tokenizer does not keep words apart")
+        rest = [pieces[k] for k in order[plain.sum():]]
+        for s in range(0, len(rest), 20_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(rest[s:s + 20_000], add_special_tokens=False)]
+            ids.append(np.array([i for own in found for i in own], self.ids.dtype))
+            sizes.append(np.array([len(own) for own in found], np.int64))
+        sizes = np.concatenate(sizes)
+        need = self.used + int(sizes.sum())
+        while len(self.ids) < need:
+            self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
+        while len(self.starts) < known + len(pieces):
+            self.starts, self.sizes = (np.r_[x, np.zeros_like(x)] for x in (self.starts, self.sizes))
+        own = slice(known, known + len(pieces))
+        self.ids[self.used:need] = np.concatenate(ids)
+        self.starts[own], self.sizes[own] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used = need
+        self.numbers.update(zip(hashes.tolist(), number.tolist()))
+        return number
+
+
+def _ranks(sorted_values: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for each run of equal values."""
+    return np.cumsum(np.r_[False, sorted_values[1:] != sorted_values[:-1]])
 
 
 def write_shards(df: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = 1, shard_chars: int = 16_000_000, index_keys: int = 100_000) -> DataFrame:
+                 end_id: int = 1, shard_chars: int = 64_000_000, index_keys: int = 100_000) -> DataFrame:
     """Encode every whole text, write shards and index files into ``folder``, return the manifest.
 
     Rows are ordered by key (null first), equal keys by a hash of the text. Null texts count as empty; each row ends
@@ -212,21 +292,18 @@ def write_shards(df: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_
         import pyarrow as pa
 
         shard, encoder = TaskContext.get().partitionId(), ChunkEncoder(tokenizer)
-        end, payload, sizes = np.array([end_id], "<u4").tobytes(), [], []
+        payload, sizes, row = [], [np.zeros(1, np.int64)], 0
         for batch in batches:
-            texts, keys = batch.column(1).to_pylist(), batch.column(0)
-            ids = []
-            for s in range(0, len(texts), 256):
-                ids += encoder.encode(texts[s:s + 256])
-            payload.append(b"".join([x + end for x in ids]))
-            own = np.array([len(x) // 4 + 1 for x in ids], np.int64)
-            row = np.arange(len(own)) + sum(len(s) for s in sizes)
-            sizes.append(own)
-            if len(own):
-                yield pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(own), shard, np.int32)), pa.array(row), pa.array(own)], names=["key", "shard", "row", "n"])
-        sizes = np.concatenate([np.zeros(1, np.int64), *sizes])
-        offsets = np.cumsum(sizes)
-        head = np.array([len(offsets) - 1, offsets[-1]], "<u8").tobytes()
+            at = 0
+            for own, ids in encoder.encode(batch.column(1), end_id):
+                payload.append(ids.tobytes())
+                sizes.append(own)
+                keys = batch.column(0).slice(at, len(own))
+                at += len(own)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(np.full(len(own), shard, np.int32)), pa.array(row + np.arange(len(own))), pa.array(own)], names=["key", "shard", "row", "n"])
+                row += len(own)
+        offsets = np.cumsum(np.concatenate(sizes))
+        head = np.array([len(offsets) - 1, offsets[-1], encoder.width], "<u8").tobytes()
         write_file(f"{folder}/shard-{shard:06d}.bin", [SHARD_MAGIC, head, *payload, offsets.astype("<u8").tobytes()])
 
     entries = Written(ordered.mapInArrow(write, "key long, shard int, row long, n long"), "id-entries")
@@ -312,9 +389,9 @@ def read_rows(keys: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame
                     offsets = held.offsets(c, min(b, c + 4095))
                     data = held.payload(offsets[0], offsets[-1])
                     for i in range(len(offsets) - 1):
-                        own = data[4 * (offsets[i] - offsets[0]):4 * (offsets[i + 1] - offsets[0])]
-                        out.append((k, s, c + i, low + int(offsets[i]), len(own) // 4, own))
-                        size += len(own)
+                        own = data[offsets[i] - offsets[0]:offsets[i + 1] - offsets[0]]
+                        out.append((k, s, c + i, low + int(offsets[i]), len(own), own.tobytes()))
+                        size += 4 * len(own)
                     if size > 8_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
                         out, size = [], 0
@@ -335,7 +412,3 @@ def round_trip(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     folder = fresh_path(df.sparkSession, "id-files")
     write_shards(df, tokenizer, folder, id_col, text_col)
     return read_rows(df, folder, id_col).select(id_col, "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
-def checksum(ids: list[int]) -> int:
-    return zlib.crc32(np.array(ids, "<u4").tobytes())

@@ -49,7 +49,7 @@ class Shingler:
             self.power, self.inverse = (
                 np.multiply.accumulate(np.r_[np.uint64(1), np.full(n, f, np.uint64)]) for f in (factor, inverse))
 
-    def words(self, column):
+    def words(self, column, hashed: bool = True):
         """Per chunk of an Arrow string column: texts' first words (and the end), word hashes, the bytes of the chunk,
         where its texts begin in them (and the end), and where words start and end."""
         buffers, n = column.buffers(), len(column)
@@ -61,11 +61,11 @@ class Shingler:
         while at < n:
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + self.CHUNK, side="right")) - 1)
             own, bounds = data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at]
-            firsts, hashes, starts, ends = self._chunk(own, bounds)
+            firsts, hashes, starts, ends = self._chunk(own, bounds, hashed)
             yield firsts, hashes, own, bounds, starts, ends
             at = end
 
-    def _chunk(self, data: np.ndarray, bounds: np.ndarray):
+    def _chunk(self, data: np.ndarray, bounds: np.ndarray, hashed: bool):
         if len(data) >= len(self.power):
             self._powers(2 * len(data))
         inside = ~self.blank[data]
@@ -76,11 +76,14 @@ class Shingler:
         begin[cuts] = inside[cuts]
         stop[cuts - 1] = inside[cuts - 1]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+        return np.searchsorted(starts, bounds), self.hashed(data, starts, ends) if hashed else None, starts, ends
+
+    def hashed(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of stretches of a chunk of bytes."""
         with np.errstate(over="ignore"):
             sums = np.zeros(len(data) + 1, np.uint64)
             np.cumsum(self.values[data] * self.power[:len(data)], out=sums[1:])
-            hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts])
-        return np.searchsorted(starts, bounds), hashes, starts, ends
+            return mix((sums[ends] - sums[starts]) * self.inverse[starts])
 
     def rolled(self, words: np.ndarray) -> np.ndarray:
         """The hash of every run of ``width`` words."""
