@@ -78,8 +78,10 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
         if n > room:
             break
         room, lowest = room - n, level
-    for bucket, level, keys in often.df.where(F.col("level") >= lowest).select("bucket", "level", "keys").orderBy("level").collect():
-        sketch[_key_places(bucket, np.frombuffer(keys, "<u4"))] = level
+    # At most as many shingles as there is room for, a partition at a time.
+    for bucket, level, keys in often.df.where(F.col("level") >= lowest).select("bucket", "level", "keys").toLocalIterator():
+        at = _key_places(bucket, np.frombuffer(keys, "<u4"))
+        sketch[at] = np.maximum(sketch[at], level)
     often.drop()
     return sketch
 
