@@ -60,12 +60,17 @@ class Settings:
     boost_grid: dict = field(default_factory=lambda: dict(BOOST_GRID))
     features: tuple = SELECTED_FEATURES
     binarised: tuple = BINARISED
+    # Projection trees that synthetic rows look for neighbours in, and rows of a leaf; 0 trees search exactly.
+    smote_trees: int = 8
+    smote_leaf_rows: int = 2_000
     target: str = "Target"
     row_id: str = "row_id"
     # Fits that may run side by side on the cluster.
     parallel_fits: int = 4
-    # Partitions of the fixed row layout that forests see; 0 takes a number by rows, up to the shuffle partitions.
-    tree_partitions: int = 0
+    # The layout that forests see has so many partitions at least, and at most so many rows in each: bagging draws
+    # depend on it, and on nothing of the session.
+    tree_partitions: int = 16
+    tree_rows: int = 200_000
 
     def small(self) -> "Settings":
         return replace(

@@ -52,7 +52,16 @@ def melt_numeric(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
 
 
 def melt_text(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    wide = df.select(*[ref(k) for k in keep], *[ref(c).cast("string").alias(c) for c in cols])
+    """Long form (keep..., column, value) with values as text; NaN is null and both zeros are one value."""
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        value = ref(c)
+        if kinds[c] in ("double", "float"):
+            value = F.when(~F.isnan(value), value + F.lit(0.0).cast(kinds[c]))
+        return value.cast("string")
+
+    wide = df.select(*[ref(k) for k in keep], *[text(c).alias(c) for c in cols])
     return wide.unpivot([ref(k) for k in keep], [ref(c) for c in cols], "column", "value")
 
 
@@ -108,7 +117,7 @@ def confidence_band(top: Column) -> Column:
 
 
 def risk_group(name: Column) -> Column:
-    """Reading of a predicted outcome."""
+    """Reading of a predicted outcome. The names and the texts for them."""
     return (
         F.when(name == "Dropout", "Likely to Drop Out")
         .when(name == "Graduate", "Likely to Graduate")

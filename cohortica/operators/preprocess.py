@@ -20,9 +20,6 @@ from cohortica.functions.columns import (
 )
 from cohortica.operators.quantiles import medians
 
-MAX_CATEGORIES = 10_000
-
-
 @dataclass
 class Fitted:
     """Measured statistics and the stages built from them."""
@@ -53,13 +50,11 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
 
 
 def category_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, int]]:
-    """Rows per text of each column. Every text becomes a feature, so their number is checked."""
+    """Rows per text of each column. Every text becomes a column of the model's matrix, whose names the driver holds."""
     if not cols:
         return {}
     rows = melt_text(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("n")).limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to one-hot encode")
+        F.count(F.lit(1)).alias("n")).collect()
     found: dict[str, dict[str, int]] = {c: {} for c in cols}
     for r in rows:
         found[r["column"]][r["value"]] = r["n"]
@@ -113,14 +108,13 @@ def _stages(f: Fitted, threshold: float, spark) -> PipelineModel:
         cats = f.categories[c]
         if len(cats) < 2:
             continue  # the only category is the dropped one
-        listed = ", ".join(sql_text(v) for v in cats)
-        text = f"coalesce(CAST({sql_name(c)} AS STRING), {sql_text(f.modes[c])})"
-        parts.append(f"CASE WHEN {text} IN ({listed}) THEN {text} ELSE {sql_text(cats[0])} END AS _cat_{i}")
-        indexed.append((f"_cat_{i}", f"_idx_{i}", f"_hot_{i}", [*cats[1:], cats[0]]))
+        parts.append(f"coalesce(CAST({sql_name(c)} AS STRING), {sql_text(f.modes[c])}) AS _cat_{i}")
+        indexed.append((f"_cat_{i}", f"_idx_{i}", f"_hot_{i}", cats[1:]))
         names += [f"cat__{c}_{v}" for v in cats[1:]]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
     if indexed:
-        indexers = [StringIndexerModel.from_labels(labels, inputCol=text, outputCol=index, handleInvalid="error")
+        # The first category and texts unseen in fitting share the index behind the listed ones, which is dropped.
+        indexers = [StringIndexerModel.from_labels(labels, inputCol=text, outputCol=index, handleInvalid="keep")
                     for text, index, _, labels in indexed]
         # The encoder reads the sizes from the index columns' metadata; no data is scanned.
         sized = PipelineModel(indexers).transform(spark.createDataFrame([], T.StructType(
@@ -132,8 +126,3 @@ def _stages(f: Fitted, threshold: float, spark) -> PipelineModel:
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     f.feature_names = names
     return PipelineModel(stages)
-
-
-def helper_columns(df: DataFrame) -> list[str]:
-    """Columns a fitted transform adds besides ``features``."""
-    return [c for c in df.columns if c.startswith(("_flag_", "_num_", "_cat_", "_idx_", "_hot_"))]

@@ -4,14 +4,12 @@ Every operator handles all requested columns in one pass over long rows."""
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +21,6 @@ from cohortica.workspace import small_side
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 GRID_POINTS = 200
-PAIRWISE_COLUMNS = 20
 
 
 def overview(df: DataFrame, target: str) -> DataFrame:
@@ -204,25 +201,36 @@ def feature_grid(df: DataFrame, features: Sequence[str], target: str, first: int
 
 
 def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(col_a, col_b, r) for the strict lower triangle, pairs with both values present."""
+    """(col_a, col_b, r) for the strict lower triangle, pairs with both values present; null where r is undefined.
+
+    One pass at any width: tasks add up masked products of whole batches, Spark adds the tasks' sums. Values are
+    shifted by a value of their column, so sums of squares keep their digits."""
     cols = list(cols or split_columns(df)[0])
-    pairs = [(a, b) for (i, a), (j, b) in itertools.product(enumerate(cols), enumerate(cols)) if i > j]
     data = df.select(*[as_double(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    at = {c: f"v{i}" for i, c in enumerate(cols)}
-    if len(cols) > PAIRWISE_COLUMNS and not data.where(
-            F.greatest(*[F.col(v).isNull() for v in at.values()])).limit(1).count():
-        packed = VectorAssembler(inputCols=list(at.values()), outputCol="v").transform(data)
-        m = Correlation.corr(packed, "v").first()[0].toArray()
-        index = {c: i for i, c in enumerate(cols)}
-        rows = [(a, b, None if np.isnan(m[index[a], index[b]]) else float(m[index[a], index[b]])) for a, b in pairs]
-        return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
-    out = None
-    for s in range(0, len(pairs), 100):
-        part = pairs[s:s + 100]
-        both = [F.col(at[a]).isNotNull() & F.col(at[b]).isNotNull() for a, b in part]
-        row = data.agg(F.array(*[
-            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                     F.corr(F.when(k, F.col(at[a])), F.when(k, F.col(at[b]))).alias("r"))
-            for (a, b), k in zip(part, both)]).alias("z")).select(F.inline("z"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+    # A present value per column where the first rows have one.
+    head = data.limit(100).toPandas().to_numpy(dtype=float)
+    shift = np.array([next((v for v in head[:, i] if np.isfinite(v)), 0.0) for i in range(len(cols))])
+
+    def add_up(batches):
+        width = len(shift)
+        sums = np.zeros((6, width, width))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1).astype(float) - shift
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf)
+            square = x * x
+            sums += np.stack([there.T @ there, x.T @ there, there.T @ x, square.T @ there, there.T @ square, x.T @ x])
+        a, b = np.tril_indices(width, -1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int32()), pa.array(b, pa.int32()), *[pa.array(s[a, b]) for s in sums]], names=["a", "b", "n", "x", "y", "xx", "yy", "xy"])
+
+    names = ("n", "x", "y", "xx", "yy", "xy")
+    parts = data.mapInArrow(add_up, "a int, b int, " + ", ".join(f"{n} double" for n in names))
+    total = parts.groupBy("a", "b").agg(*[F.sum(n).alias(n) for n in names])
+    n, x, y, xx, yy, xy = (F.col(c) for c in names)
+    spread = (xx - x * x / n) * (yy - y * y / n)
+    r = F.when((n > 1) & (spread > 0), F.least(F.greatest((xy - x * y / n) / F.sqrt(spread), F.lit(-1.0)), F.lit(1.0)))
+    listed = F.array(*[F.lit(c) for c in cols])
+    return total.select(F.get(listed, F.col("a")).alias("col_a"), F.get(listed, F.col("b")).alias("col_b"), r.alias("r"))

@@ -9,13 +9,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.workspace import shuffle_partitions
-
-MAX_BUCKETS = 2048
+# Rows that a bucket is meant to hold; the number of buckets follows from the rows.
+BUCKET_ROWS = 250_000
 
 
 def bucket_count(df: DataFrame) -> int:
-    return max(2, min(MAX_BUCKETS, 4 * shuffle_partitions(df.sparkSession)))
+    return max(2, -(-df.count() // BUCKET_ROWS))
 
 
 def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:

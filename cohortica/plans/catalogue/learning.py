@@ -1,7 +1,6 @@
 """Encoding, splitting, preprocessing, resampling, learners, evaluation, registry, scoring."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -19,7 +18,9 @@ from cohortica.plans.catalogue.tables import (
 from cohortica.streaming.scoring import score_available
 from cohortica.workspace import fresh_path, materialise
 
-SETTINGS = Settings(features=FEATURES, binarised=BINARISED, target="outcome", row_id="case_id").small()
+FULL = Settings(features=FEATURES, binarised=BINARISED, target="outcome", row_id="case_id")
+# Searches fit every candidate on every fold; with the full grids that is 888 fits of up to 600 trees or 200 rounds.
+SEARCH = FULL.small()
 METRIC_COLUMNS = "accuracy, precision, recall, f1, roc_auc"
 ROUNDED_METRICS = ", ".join(f"round({c}, 6) AS {c}" for c in METRIC_COLUMNS.split(", "))
 
@@ -150,40 +151,45 @@ def i12(spark, sf):
     return split.stratified_folds(df.where("not is_test").drop("is_test"), "label", "row_id")
 
 
-SMOTE_COLUMNS = ("total_price", "acct_bal", "sum_qty")
+PRIORITIES = ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# The preprocessed row: scaled numbers, then flags of all but the first category.
+VECTOR_SQL = "[" + ", ".join(
+    [f"(coalesce({c}, md_{c}) - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1 ELSE sd_{c} END" for c in NUMERIC]
+    + [f"CAST(coalesce({c}, mo_{c}) = '{v}' AS INTEGER)::DOUBLE" for c, vs in zip(TEXT, (PRIORITIES, SEGMENTS)) for v in vs]) + "]::DOUBLE[14]"
 
 
 def _smote_input(spark, sf):
-    df = labelled(spark, sf).select("row_id", "label", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in SMOTE_COLUMNS])
-    return materialise(VectorAssembler(inputCols=list(SMOTE_COLUMNS), outputCol="features").transform(df).select(
-        "row_id", "label", "features"), "smote-input", "row_id")
+    """All features of the labelled cases, preprocessed."""
+    df = _written(spark, sf)
+    return materialise(preprocess.fit(df, FEATURES).transform(df).select("row_id", "label", "features"), "smote-input", "row_id")
 
 
 def _draw_sql(name, n):
     return f"CAST('0x' || md5('42:{name}:' || label || ':' || j)[1:15] AS BIGINT) % {n}"
 
 
-@query("i13_smote", f"""WITH {LABELLED_SQL},
-pts AS (SELECT row_id, label, total_price AS a, acct_bal AS b, coalesce(sum_qty, 0) AS c,
-  row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), CAST(row_id AS VARCHAR)) - 1 AS pos FROM labelled),
+@query("i13_smote", f"""WITH {FIT_SQL},
+pts AS (SELECT row_id, label, {VECTOR_SQL} AS v,
+  row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), CAST(row_id AS VARCHAR)) - 1 AS pos FROM labelled, med, mom, mod),
 cnt AS (SELECT label, count(*) AS n_c FROM pts GROUP BY label),
 need AS (SELECT label, n_c, (SELECT max(n_c) FROM cnt) - n_c AS m FROM cnt WHERE n_c < (SELECT max(n_c) FROM cnt)),
 drawn AS (SELECT label, n_c, unnest(range(m)) AS j FROM need),
 picked AS (SELECT label, j, {_draw_sql("row", "n_c")} AS pos, {_draw_sql("slot", "5")} AS slot,
   CAST({_draw_sql("step", "1000000007")} AS DOUBLE) / 1000000007.0 AS u FROM drawn),
 used AS (SELECT DISTINCT p.* FROM pts p JOIN picked USING (label, pos)),
-pairs AS (SELECT q.label, q.pos, p.a, p.b, p.c, row_number() OVER (PARTITION BY q.label, q.pos ORDER BY
-    (q.a - p.a) * (q.a - p.a) + (q.b - p.b) * (q.b - p.b) + (q.c - p.c) * (q.c - p.c), p.pos) - 1 AS slot
-  FROM used q JOIN pts p ON p.label = q.label AND p.pos <> q.pos
-  QUALIFY slot < 5)
-SELECT 'synthetic-' || k.label || '-' || j AS row_id, k.label, round(s.a + u * (t.a - s.a), 4) AS a,
-  round(s.b + u * (t.b - s.b), 4) AS b, round(s.c + u * (t.c - s.c), 4) AS c
+near AS (SELECT q.label, q.pos, unnest(arg_min(p.pos, array_distance(q.v, p.v), 5)) AS near_pos,
+    generate_subscripts(arg_min(p.pos, array_distance(q.v, p.v), 5), 1) - 1 AS slot
+  FROM used q JOIN pts p ON p.label = q.label AND p.pos <> q.pos GROUP BY q.label, q.pos)
+SELECT 'synthetic-' || k.label || '-' || k.j AS row_id, k.label,
+  {", ".join(f"round(s.v[{i}] + u * (t.v[{i}] - s.v[{i}]), 4) + 0.0 AS f{i}" for i in range(1, 15))}
 FROM picked k JOIN pts s ON s.label = k.label AND s.pos = k.pos
-JOIN pairs t ON t.label = k.label AND t.pos = k.pos AND t.slot = k.slot""")
+JOIN near n ON n.label = k.label AND n.pos = k.pos AND n.slot = k.slot
+JOIN pts t ON t.label = k.label AND t.pos = n.near_pos""")
 def i13(spark, sf):
     out = resample.smote(_smote_input(spark, sf), "row_id").where(F.col("row_id").startswith("synthetic"))
     v = out.select("row_id", "label", vector_to_array("features").alias("v"))
-    return rounded(v.select("row_id", "label", *[F.get("v", i).alias(n) for i, n in enumerate("abc")]), 4)
+    return rounded(v.select("row_id", "label", *[F.get("v", i).alias(f"f{i + 1}") for i in range(14)]), 4)
 
 
 @query("g2_append_synthetic", f"""WITH {LABELLED_SQL}, c AS (SELECT label, count(*) AS n FROM labelled GROUP BY label)
@@ -194,37 +200,71 @@ def g2(spark, sf):
     return out.groupBy("label", F.col("row_id").startswith("synthetic").alias("synthetic")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _train_and_report(spark, sf, *names, settings=SETTINGS):
+def _train_and_report(spark, sf, *names, settings=FULL):
     table_, _, _ = training.prepare(cases(spark, sf), settings)
     train, test = table_.where("not is_test").drop("is_test"), table_.where("is_test").drop("is_test")
     configs = {c.model: c for c in training.training_matrix()}
     shared = {}
-    trained = [training.train_one(train, configs[n], settings, shared) for n in names]
-    return _report_columns(training.evaluate(trained, test))
+    try:
+        trained = [training.train_one(train, configs[n], settings, shared) for n in names]
+        return training.evaluate(trained, test)
+    finally:
+        training.release(shared)
+
+
+def _checked_reports(reports_):
+    """Support of every report row, and whether its shares are shares and its AUC beats chance."""
+    shares = F.lit(True)
+    for c in ("precision", "recall", "f1_score"):
+        shares = shares & F.coalesce(F.col(c).between(0, 1), F.col("row_label") == "roc_auc")
+    better = F.when(F.col("row_label") == "roc_auc", (F.col("roc_auc") > 0.5) & (F.col("roc_auc") <= 1)).otherwise(F.col("roc_auc").isNull())
+    support = F.when(F.col("row_label") != "accuracy", F.col("support"))
+    return reports_.select("model", "row_label", support.cast("bigint").alias("support"), (shares & better).alias("sound"))
+
+
+def _support_sql(*models):
+    """Report rows of models on the held-out cases: supports follow from the split."""
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""WITH {SPLIT_SQL}, held AS (SELECT label, count(*) AS n FROM split WHERE is_test GROUP BY label), m(model) AS (VALUES {names}),
+report AS (SELECT CAST(label AS VARCHAR) AS row_label, n AS support FROM held
+  UNION ALL SELECT 'accuracy', NULL UNION ALL SELECT 'macro avg', (SELECT CAST(sum(n) AS BIGINT) FROM held)
+  UNION ALL SELECT 'weighted avg', (SELECT CAST(sum(n) AS BIGINT) FROM held) UNION ALL SELECT 'roc_auc', NULL)
+SELECT model, row_label, support, TRUE AS sound FROM m, report"""
+
+
+def _search_sql(n_candidates):
+    return f"""SELECT CAST(c AS INTEGER) AS candidate, CAST(f AS INTEGER) AS fold, TRUE AS sound
+FROM (SELECT unnest(range({n_candidates})) AS c), (SELECT unnest(range(3)) AS f)"""
+
 
+def _checked_search(scores_):
+    return scores_.select("candidate", "fold", ((F.col("roc_auc") > 0.5) & (F.col("roc_auc") <= 1)).alias("sound"))
 
-@query("i14_logistic")
+
+@query("i14_logistic", _support_sql("BASE_LR", "BASE_LR_BALANCE"))
 def i14(spark, sf):
-    return _train_and_report(spark, sf, "BASE_LR", "BASE_LR_BALANCE")
+    return _checked_reports(_train_and_report(spark, sf, "BASE_LR", "BASE_LR_BALANCE", settings=FULL))
 
 
-@query("i15_forest")
+@query("i15_forest", _support_sql("BASE_RF"))
 def i15(spark, sf):
-    return _train_and_report(spark, sf, "BASE_RF")
+    return _checked_reports(_train_and_report(spark, sf, "BASE_RF", settings=FULL))
 
 
-@query("i16_boosted")
+@query("i16_boosted", _support_sql("BINN_XGB"))
 def i16(spark, sf):
-    return _train_and_report(spark, sf, "BINN_XGB")
+    return _checked_reports(_train_and_report(spark, sf, "BINN_XGB", settings=FULL))
+
 
+def _searched(spark, sf, name):
+    table_, _, _ = training.prepare(cases(spark, sf), SEARCH)
+    config = next(c for c in training.training_matrix() if c.model == name)
+    return _checked_search(training.search(table_.where("not is_test").drop("is_test"), config, SEARCH)[1])
 
-@query("i17_grid_search")
+
+@query("i17_grid_search", _search_sql(4))
 def i17(spark, sf):
-    settings = SETTINGS
-    table_, _, _ = training.prepare(cases(spark, sf), settings)
-    train = table_.where("not is_test").drop("is_test")
-    config = next(c for c in training.training_matrix() if c.model == "BASE_RF_GRID")
-    return rounded(training.search(train, config, settings)[1])
+    return _searched(spark, sf, "BASE_RF_GRID")
 
 
 FOLD_SCORES_SQL = f"""{SCORES_SQL}, fs AS (
@@ -238,12 +278,9 @@ fa AS (SELECT model, fold, class, sum(hit) AS pos, (sum(CASE WHEN hit = 1 THEN C
 fold_auc AS (SELECT model, fold, sum(auc * pos) / sum(pos) AS roc_auc FROM fa GROUP BY ALL)"""
 
 
-@query("i19_boost_search")
+@query("i19_boost_search", _search_sql(2))
 def i19(spark, sf):
-    table_, _, _ = training.prepare(cases(spark, sf), SETTINGS)
-    train = table_.where("not is_test").drop("is_test")
-    config = next(c for c in training.training_matrix() if c.model == "BASE_XGB_GRID")
-    return rounded(training.search(train, config, SETTINGS)[1])
+    return _searched(spark, sf, "BASE_XGB_GRID")
 
 
 @query("i17_rank_candidates", f"""WITH {FOLD_SCORES_SQL} SELECT model AS candidate, round(avg(roc_auc), 6) AS mean_score
@@ -254,10 +291,12 @@ def i17_rank(spark, sf):
     return rounded(training.rank_candidates(per_fold))
 
 
-@query("i20_training_matrix")
+MATRIX = [c.model for c in training.training_matrix()]
+
+
+@query("i20_training_matrix", _support_sql(*MATRIX))
 def i20(spark, sf):
-    names = [c.model for c in training.training_matrix() if not c.grid]
-    return _train_and_report(spark, sf, *names)
+    return _checked_reports(_train_and_report(spark, sf, *MATRIX, settings=SEARCH))
 
 
 @query("i21_class_auc", f"WITH {REPORT_SQL} SELECT model, class, CAST(positives AS BIGINT) AS positives, "
@@ -297,19 +336,36 @@ def i25_text(spark, sf):
     return rounded(importance.mutual_information(table(spark, sf, "documents"), ["lang"], "source"))
 
 
-@query("i26_forest_importance")
+def _sound_importances(df):
+    """Feature names, and whether all values are shares that add up to 1."""
+    total, low = df.agg(F.sum("importance"), F.min("importance")).first()
+    return df.select("feature", F.lit(low >= 0 and abs(total - 1) < 1e-6).alias("sound"))
+
+
+FEATURES_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS sound" for c in FEATURES)
+
+
+def _columns_sql(binarised=()):
+    """Names of the columns that preprocessing of the training rows makes."""
+    parts = [f"SELECT 'binarize__{c}' AS feature" for c in binarised] + [f"SELECT 'num__{c}'" for c in NUMERIC if c not in binarised]
+    parts += [f"SELECT DISTINCT 'cat__{c}_' || {c} FROM train WHERE {c} > (SELECT min({c}) FROM train)" for c in TEXT]
+    return f"""WITH {SPLIT_SQL}, train AS (SELECT * FROM split WHERE NOT is_test), f(feature) AS ({" UNION ALL ".join(parts)})
+SELECT feature, TRUE AS sound FROM f"""
+
+
+@query("i26_forest_importance", FEATURES_SQL)
 def i26(spark, sf):
     df = _written(spark, sf).withColumn("row_id", F.col("row_id").cast("string"))
-    return rounded(importance.forest_importance(df, FEATURES, SETTINGS))
+    return _sound_importances(importance.forest_importance(df, FEATURES, FULL))
 
 
-@query("i27_best_importance")
+@query("i27_best_importance", _columns_sql(BINARISED))
 def i27(spark, sf):
-    table_, _, _ = training.prepare(cases(spark, sf), SETTINGS)
+    table_, _, _ = training.prepare(cases(spark, sf), FULL)
     train = table_.where("not is_test").drop("is_test")
     configs = {c.model: c for c in training.training_matrix()}
-    t = training.train_one(train, configs["BINN_RF"], SETTINGS)
-    return rounded(learners.importances(t.model.stages[-1], t.feature_names, spark))
+    t = training.train_one(train, configs["BINN_RF"], FULL)
+    return _sound_importances(learners.importances(t.model.stages[-1], t.feature_names, spark))
 
 
 @query("i28_fill_inputs", f"""WITH {CASES_SQL}, d AS (SELECT median(n_lines) AS a, median(sum_qty) AS b, median(max_disc) AS m, min(priority) AS p,
@@ -327,11 +383,22 @@ def _fitted_logistic(spark, sf):
     df = _written(spark, sf)
     fitted = preprocess.fit(df, FEATURES)
     rows = fitted.transform(df).select(F.col("row_id").cast("string").alias("row_id"), "label", "features")
-    model = learners.fit_learner("lr", rows, SETTINGS)
+    model = learners.fit_learner("lr", rows, FULL)
     return PipelineModel([*fitted.model.stages, model]), df
 
 
-@query("i28_score_batch")
+def _consistent(out):
+    """Whether band and risk group are those of the top probability and the predicted class."""
+    top, predicted = F.col("top"), F.col("predicted")
+    band = F.when(top > 0.8, "High").when(top > 0.6, "Medium").otherwise("Low")
+    risk = F.when(predicted == "Dropout", "Likely to Drop Out").when(predicted == "Graduate", "Likely to Graduate").otherwise("Likely to Stay Enrolled")
+    return (F.col("band") == band) & (F.col("risk_group") == risk) & predicted.isin(*CLASSES) & top.between(1 / len(CLASSES), 1)
+
+
+ALL_SOUND_SQL = f"WITH {LABELLED_SQL} SELECT row_id, TRUE AS sound FROM labelled"
+
+
+@query("i28_score_batch", ALL_SOUND_SQL)
 def i28(spark, sf):
     """Saves the pipeline, loads it and scores every case with some inputs missing."""
     model, df = _fitted_logistic(spark, sf)
@@ -339,17 +406,25 @@ def i28(spark, sf):
     model.write().save(path)
     defaults = scoring.form_defaults(df, FEATURES)
     out = scoring.score(df.drop("acct_bal"), PipelineModel.load(path), CLASSES, defaults, ["row_id"])
-    return rounded(out.select("row_id", "predicted", "band", "risk_group", "top"), 4)
+    return out.select("row_id", _consistent(out).alias("sound"))
 
 
-@query("i28_score_stream")
+@query("i28_score_stream", ALL_SOUND_SQL)
 def i28_stream(spark, sf):
+    """Scores arriving files; every row must come out as it does from the whole table."""
     model, df = _fitted_logistic(spark, sf)
     folder = fresh_path(spark, "arrivals")
     df.drop("label", "outcome").repartition(4).write.parquet(folder)
-    schema = spark.read.parquet(folder).schema
-    out = score_available(spark, folder, schema, model, CLASSES, scoring.form_defaults(df, FEATURES), ["row_id"])
-    return rounded(out.select("row_id", "predicted", "band", "risk_group", "top"), 4)
+    arrived = spark.read.parquet(folder)
+    defaults = scoring.form_defaults(df, FEATURES)
+    columns = ["row_id", "predicted", "band", "risk_group", "top"]
+    out = score_available(spark, folder, arrived.schema, model, CLASSES, defaults, ["row_id"]).select(*columns)
+    whole = scoring.score(arrived, model, CLASSES, defaults, ["row_id"]).select(*columns)
+    same = F.lit(True)
+    for c in columns[1:-1]:
+        same = same & (F.col(c) == F.col(f"b_{c}"))
+    both = out.join(whole.toDF("row_id", *[f"b_{c}" for c in columns[1:]]), "row_id")
+    return both.select("row_id", (_consistent(both) & same & (F.abs(F.col("top") - F.col("b_top")) < 1e-9)).alias("sound"))
 
 
 OUTCOME_SQL = SCORES_SQL + """, top AS (SELECT model, o_orderkey, greatest(p0, p1, p2) AS t, prediction FROM predicted)"""
@@ -422,35 +497,47 @@ def i34(spark, sf):
     return rounded(registry.register_best(reports(spark, sf), models))
 
 
-@query("a13_run_folder")
+@query("a13_run_folder", _support_sql("BASE_LR", "BINN_LR"))
 def a13(spark, sf):
-    """Trains two configurations into a folder, skips them in a second run, scores with the best one."""
+    """Trains two configurations into a folder, skips them, trains one again, and reads what the folder holds.
+
+    A row is sound if its model has one path, one importance per column and one confusion matrix that adds up."""
     folder = fresh_path(spark, "run")
     df = cases(spark, sf)
     configs = [c for c in training.training_matrix() if c.model in ("BASE_LR", "BINN_LR")]
-    training.run_matrix(df, SETTINGS, folder, configs)
-    training.run_matrix(df, SETTINGS, folder, configs, run_all=False)
-    model, meta = training.load_best(spark, folder)
-    return scoring.score(df, model, meta["class_names"], None, ["case_id"]).groupBy("predicted", "band").agg(
-        F.count(F.lit(1)).alias("n"))
-
-
-@query("a14_load_model", f"WITH {CASES_SQL} SELECT count(*) AS n FROM cases")
+    training.run_matrix(df, FULL, folder, configs)
+    training.run_matrix(df, FULL, folder, configs, run_all=False)
+    training.run_matrix(df, FULL, folder, configs[:1])
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    paths = read("trained").groupBy("model").agg((F.count("*") == 1).alias("one_path"))
+    single = read("importance").groupBy("model").agg((F.count("*") == F.countDistinct("feature")).alias("single"))
+    reports_ = _checked_reports(read("reports"))
+    counted = read("confusion").groupBy("model").agg(F.sum(F.expr("pred_0 + pred_1 + pred_2")).alias("n"))
+    total = reports_.where("row_label = 'macro avg'").join(counted, "model").select("model", (F.col("support") == F.col("n")).alias("adds_up"))
+    checks = paths.join(single, "model").join(total, "model")
+    return reports_.join(checks, "model").select("model", "row_label", "support", F.expr("sound AND one_path AND single AND adds_up").alias("sound"))
+
+
+@query("a14_load_model", f"WITH {CASES_SQL} SELECT count(*) AS n, TRUE AS same FROM cases")
 def a14(spark, sf):
-    """The registered best model scores every case."""
+    """The registered best model, loaded again, scores every case as the fitted one does."""
     folder = fresh_path(spark, "run")
     df = cases(spark, sf)
-    training.run_matrix(df, SETTINGS, folder, [c for c in training.training_matrix() if c.model == "BASE_LR"])
+    _, trained, labels = training.run_matrix(df, FULL, folder, [c for c in training.training_matrix() if c.model == "BASE_LR"])
     model, meta = training.load_best(spark, folder)
-    out = scoring.score(df, model, meta["class_names"], None, ["case_id"])
-    return out.where(F.col("predicted").isNotNull() & F.col("top").between(0, 1)).agg(F.count(F.lit(1)).alias("n"))
+    columns = ["case_id", "predicted", "top"]
+    loaded = scoring.score(df, model, meta["class_names"], None, ["case_id"]).select(*columns)
+    fitted = scoring.score(df, trained[0].model, labels, None, ["case_id"])
+    both = loaded.join(fitted.select("case_id", F.col("predicted").alias("p"), F.col("top").alias("t")), "case_id")
+    same = (F.col("predicted") == F.col("p")) & (F.abs(F.col("top") - F.col("t")) < 1e-9)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.every(same).alias("same"))
 
 
 @query("a16_metadata", f"""WITH {CASES_SQL} SELECT 'class' AS kind, outcome AS name FROM cases GROUP BY outcome
 UNION ALL SELECT 'numeric', unnest([{", ".join(f"'{c}'" for c in NUMERIC)}])
 UNION ALL SELECT 'categorical', unnest([{", ".join(f"'{c}'" for c in TEXT)}])""")
 def a16(spark, sf):
-    table_, labels, _ = training.prepare(cases(spark, sf), SETTINGS)
+    table_, labels, _ = training.prepare(cases(spark, sf), FULL)
     path = fresh_path(spark, "metadata")
     training.metadata_table(table_, labels).write.parquet(path)
 
@@ -461,9 +548,9 @@ def a16(spark, sf):
         tagged("class", "class_names"), tagged("numeric", "numeric_columns"), tagged("categorical", "categorical_columns"))))
 
 
-@query("a15_performance")
+@query("a15_performance", _columns_sql())
 def a15(spark, sf):
     folder = fresh_path(spark, "run")
     configs = [c for c in training.training_matrix() if c.model == "BASE_RF"]
-    training.run_matrix(cases(spark, sf), SETTINGS, folder, configs)
-    return rounded(importance.sort_importances(training.load_performance(spark, folder)["feature_importance"]))
+    training.run_matrix(cases(spark, sf), FULL, folder, configs)
+    return _sound_importances(importance.sort_importances(training.load_performance(spark, folder)["feature_importance"]))

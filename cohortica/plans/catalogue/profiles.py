@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from cohortica.config import Settings
 from cohortica.operators import importance, profile, registry
 from cohortica.operators.quantiles import quantiles
-from cohortica.plans.cases import CASES_SQL, CLASSES, NUMERIC, cases, table
+from cohortica.plans.cases import CASES_SQL, CLASSES, FEATURES, NUMERIC, TEXT, cases, labelled, table
 from cohortica.plans.catalogue import query, rounded
 from cohortica.plans.catalogue.tables import REPORT_SQL, SUMMARY_SQL, reports
 from cohortica.sources.tables import load_table, save_table
@@ -225,15 +226,6 @@ discrete AS (SELECT feature, greatest(sum(n / t * ln(n * t / (nx * ny))), 0) AS
   FROM dcell JOIN dx USING (feature, v) JOIN dy USING (feature, y) JOIN dn USING (feature) GROUP BY feature)"""
 
 
-@query("c1_align_importances", f"""WITH {CASES_SQL}, {STRENGTH_SQL},
-{_discrete_sql("cases", ["segment", "priority", "nation_code"], "outcome")}
-SELECT feature, round(importance, 6) AS rf, round(mi, 6) AS mi FROM strength FULL JOIN discrete USING (feature)""")
-def c1(spark, sf):
-    mi = importance.discrete_information(cases(spark, sf), ["segment", "priority", "nation_code"], "outcome")
-    return rounded(importance.align_importances(
-        _strength(spark, sf).withColumnRenamed("importance", "rf"), mi.select("feature", "mi")))
-
-
 @query("f1_sort_importances", f"WITH {CASES_SQL}, {STRENGTH_SQL} SELECT feature, round(importance, 6) AS importance "
                               "FROM strength ORDER BY importance DESC")
 def f1(spark, sf):
@@ -300,3 +292,16 @@ UNION ALL SELECT feature, round(mi, 6), 'discrete' FROM discrete""")
 def i25(spark, sf):
     cols = ["total_price", "sum_qty", "acct_bal", "nation_code", "segment", "priority"]
     return rounded(importance.mutual_information(_written(spark, sf), cols, "outcome"))
+
+
+@query("c1_align_importances", f"""WITH {CASES_SQL}, {_knn_sql("cases", NUMERIC, "outcome")}, {_discrete_sql("cases", TEXT, "outcome")}
+SELECT feature, round(mi, 6) AS mi, TRUE AS sound FROM (SELECT * FROM knn UNION ALL SELECT * FROM discrete)""")
+def c1(spark, sf):
+    """All features ranked by forest and by mutual information, written and read back; forest shares add up to 1."""
+    df = materialise(labelled(spark, sf), "labelled", "row_id").withColumn("row_id", F.col("row_id").cast("string"))
+    path = fresh_path(spark, "ranking")
+    settings = Settings(features=FEATURES, target="outcome", row_id="case_id")
+    save_table(importance.rank_features(df, FEATURES, "outcome", settings), path, "csv")
+    ranked = load_table(spark, path, "csv")
+    total, low = ranked.agg(F.sum("rf"), F.min("rf")).first()
+    return rounded(ranked.select("feature", "mi", F.lit(low >= 0 and abs(total - 1) < 1e-6).alias("sound")))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cohortica.functions import columns as C
 from cohortica.operators import clean as cl
 from cohortica.operators import metrics, registry
+from cohortica.operators.profile import drop_null
 from cohortica.plans.cases import (
     BINARISED, CASES_SQL, CLASSES, FEATURES, MODELS, SCORES_SQL, cases, scores, table,
 )
@@ -209,8 +210,7 @@ def b6(spark, sf):
 
 @query("b7_drop_null_column", f"WITH {CASES_SQL} SELECT case_id, priority FROM cases WHERE priority IS NOT NULL")
 def b7(spark, sf):
-    df = cases(spark, sf).select("case_id", "priority")
-    return df.where(F.col("priority").isNotNull())
+    return drop_null(cases(spark, sf).select("case_id", "priority"), "priority")
 
 
 @query("b9_override", f"WITH {CASES_SQL} SELECT case_id, CAST(3 AS BIGINT) AS n_lines, 'BUILDING' AS segment, "

@@ -5,7 +5,7 @@ from cohortica.config import BOOST_GRID, FOREST_GRID, SELECTED_FEATURES
 from cohortica.operators import scoring
 from cohortica.plans import training
 from cohortica.plans.cases import FEATURES, cases
-from cohortica.plans.catalogue.learning import SETTINGS
+from cohortica.plans.catalogue.learning import SEARCH as SETTINGS
 from cohortica.streaming.scoring import score_available
 from cohortica.workspace import fresh_path
 
@@ -85,3 +85,37 @@ def test_defaults_fill(spark):
     assert [tuple(r) for r in filled.collect()] == [(2.0, "a"), (9.0, "a")]
     with pytest.raises(Exception):
         filled.select("y").collect()
+
+
+def test_training_again_replaces_a_model(spark, sf):
+    from dataclasses import replace
+
+    folder, df = fresh_path(spark, "run"), cases(spark, sf)
+    configs = [c for c in training.training_matrix() if c.model in ("BASE_RF", "BASE_LR")]
+    training.run_matrix(df, SETTINGS, folder, configs)
+    before = {r["model"]: r["roc_auc"] for r in training.load_performance(spark, folder)["results"].collect()}
+    stump = replace(SETTINGS, forest_trees=1, forest_max_depth=1)
+    training.run_matrix(df, stump, folder, [c for c in configs if c.model == "BASE_RF"])
+    after = {r["model"]: r["roc_auc"] for r in training.load_performance(spark, folder)["results"].collect()}
+    assert after["BASE_LR"] == before["BASE_LR"] and after["BASE_RF"] < before["BASE_RF"]
+    reports = spark.read.parquet(f"{folder}/reports")
+    assert reports.groupBy("model", "row_label").count().where("count > 1").count() == 0
+    assert spark.read.parquet(f"{folder}/importance").groupBy("model", "feature").count().where("count > 1").count() == 0
+    assert training.trained_models(spark, folder).count() == 2
+    confusion = spark.read.parquet(f"{folder}/confusion")
+    held = reports.where("row_label = 'macro avg'").select("model", "support").collect()
+    totals = {r["model"]: r["n"] for r in confusion.groupBy("model").agg(F.sum(F.expr("pred_0 + pred_1 + pred_2")).alias("n")).collect()}
+    assert {r["model"]: r["support"] for r in held} == totals
+
+
+def test_no_configurations_train_nothing(spark, sf):
+    reports, trained, _ = training.run_matrix(cases(spark, sf), SETTINGS, None, [])
+    assert reports is None and trained == []
+
+
+def test_nothing_stays_cached(spark, sf):
+    spark.catalog.clearCache()
+    table, _, _ = training.prepare(cases(spark, sf), SETTINGS)
+    config = next(c for c in training.training_matrix() if c.model == "BASE_LR")
+    training.train_one(table.where("not is_test").drop("is_test"), config, SETTINGS)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
