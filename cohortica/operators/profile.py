@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cohortica.functions.columns import as_double, melt_numeric, melt_text, ref, split_columns
 from cohortica.operators.importance import distinct_counts
 from cohortica.operators.quantiles import wide_quantiles
-from cohortica.workspace import small_side
+from cohortica.workspace import materialise
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 GRID_POINTS = 200
@@ -36,7 +36,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     basic = melt_numeric(df, cols).groupBy("column").agg(
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    return basic.join(F.broadcast(wide_quantiles(df, cols, QUARTILES)), "column").select(
+    return basic.join(wide_quantiles(df, cols, QUARTILES), "column").select(
         "column", "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -178,7 +178,8 @@ def box_outliers(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
 
 def _fenced(df, cols, by) -> DataFrame:
     data = df.select(ref(by).alias("class"), *[ref(c) for c in cols]).where(F.col("class").isNotNull())
-    boxes = small_side(wide_quantiles(data, cols, QUARTILES, ["class"]).withColumn("iqr", F.col("p75") - F.col("p25")))
+    # A row per class and column, written: Spark knows its size when it chooses the join.
+    boxes = materialise(wide_quantiles(data, cols, QUARTILES, ["class"]).withColumn("iqr", F.col("p75") - F.col("p25")), "boxes")
     return melt_numeric(data, cols, ["class"]).join(boxes, ["class", "column"])
 
 

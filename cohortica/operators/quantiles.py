@@ -1,24 +1,19 @@
-"""Exact quantiles that do not hold a column's distinct values in one place.
+"""Exact quantiles that hold neither a group nor its distinct values in one place.
 
-Groups up to ``EXACT_ROWS`` rows use the built-in exact aggregate. Larger groups
-narrow in on each wanted rank: a quantile sketch gives a bracket of values around
-it, and only rows inside the bracket are grouped and ranked."""
+Values are counted once, distinct value by distinct value, and the counts are written; every
+wanted rank is then found from running totals per value bucket. One path serves all sizes."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cohortica.functions.columns import melt_numeric, ref
-
-EXACT_ROWS = 1_000_000
-GRID = 200
-ACCURACY = 10_000
+from cohortica.operators.ranges import add_bucket, value_cuts
+from cohortica.workspace import materialise
 
 
 def quantiles(
@@ -26,135 +21,57 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    exact_rows: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Rows (by..., column, prob, value), linearly interpolated, nulls and NaN left out."""
-    limit = EXACT_ROWS if exact_rows is None else exact_rows
-    long = melt_numeric(df, cols, by)
-    keys = [*by, "column"]
-    if df.count() <= limit:
-        return _built_in(long, keys, probs)
-    counts = long.groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    # At most (rows / limit) groups can be this large.
-    large = counts.where(F.col("n") > limit).collect()
-    if not large:
-        return _built_in(long, keys, probs)
-    spark = df.sparkSession
-    hot = spark.createDataFrame([tuple(r)[:-1] for r in large], T.StructType(counts.schema.fields[:-1]))
-    rest = long.join(F.broadcast(hot.alias("h")), _same(long, hot, keys), "left_anti")
-    return _built_in(rest, keys, probs).unionByName(_narrowed(long, keys, probs, large, limit))
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left["`" + k + "`"].eqNullSafe(right["`" + k + "`"])
-    return cond
-
-
-def _built_in(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    points = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
-    listed = F.array(*[F.lit(float(p)) for p in probs])
-    return (
-        long.groupBy(*[ref(k) for k in keys]).agg(F.arrays_zip(listed.alias("prob"), points.alias("value")).alias("z"))
-        .select(*[ref(k) for k in keys], F.inline("z").alias("prob", "value"))
-    )
-
-
-def _narrowed(long, keys, probs, large, limit) -> DataFrame:
-    spark = long.sparkSession
-    key_fields = [long.schema[k] for k in keys]
-    target_schema = T.StructType([
-        *key_fields,
-        T.StructField("prob", T.DoubleType()), T.StructField("rank_lo", T.LongType()),
-        T.StructField("rank_hi", T.LongType()), T.StructField("frac", T.DoubleType()),
-        T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()),
-        T.StructField("inside", T.LongType()),
-    ])
-    targets = []
-    for row in large:
-        n = row["n"]
-        for p in probs:
-            at = (n - 1) * p
-            targets.append((*tuple(row)[:-1], float(p), math.floor(at) + 1, math.ceil(at) + 1,
-                            at - math.floor(at), float("-inf"), float("inf"), n))
-
-    def joined(rows):
-        t = spark.createDataFrame(rows, target_schema)
-        cond = _same(long, t, keys) & (long["value"] <= t["hi"])
-        return long.join(F.broadcast(t), cond).select(
-            *[t["`" + k + "`"].alias(k) for k in keys], t["prob"], t["rank_lo"], t["rank_hi"],
-            t["frac"], t["lo"], F.when(long["value"] >= t["lo"], long["value"]).alias("v"),
-        )
+    """Rows (by..., column, prob, value), linearly interpolated, nulls and NaN left out.
 
-    def name(row):
-        return (*row[:len(keys)], row[len(keys)])
-
-    while any(t[-1] > limit for t in targets):
-        grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-        found = {
-            (*[r[k] for k in keys], r["prob"]): r
-            for r in joined(targets).groupBy(*[ref(k) for k in keys], "prob").agg(
-                F.count("v").alias("inside"), F.count_if(F.col("v").isNull()).alias("below"),
-                F.percentile_approx("v", grid, ACCURACY).alias("grid"),
-                F.min("v").alias("lowest"), F.max("v").alias("highest"),
-            ).collect()
-        }
-        shrunk = []
-        for t in targets:
-            r, base = found[name(t)], len(keys)
-            # Sketch ranks are off by at most inside / ACCURACY; keep twice that and a row.
-            slack = 2 * r["inside"] / ACCURACY + 2
-            lo, hi = r["lowest"], r["highest"]
-            for i, v in enumerate(r["grid"]):
-                at = r["below"] + r["inside"] * i / GRID
-                if at + slack < t[base + 1]:
-                    lo = max(lo, v)
-                if at - slack > t[base + 2]:
-                    hi = min(hi, v)
-                    break
-            shrunk.append((*t[:base + 4], lo, hi, min(t[-1], _inside(r, lo, hi))))
-        if [t[-1] for t in shrunk] == [t[-1] for t in targets]:
-            break  # what is left are copies of few values, grouping takes care of them
-        targets = shrunk
-
-    counted = joined(targets).groupBy(
-        *[ref(k) for k in keys], "prob", "rank_lo", "rank_hi", "frac", "v"
-    ).agg(F.count(F.lit(1)).alias("c"))
-    order = Window.partitionBy(*[ref(k) for k in keys], "prob").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("last", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-
-    def at_rank(rank):
-        inside = F.col("v").isNotNull() & (F.col(rank) <= F.col("last")) & (F.col(rank) > F.col("last") - F.col("c"))
-        return F.max(F.when(inside, F.col("v")))
-
-    ends = ranked.groupBy(*[ref(k) for k in keys], "prob", "frac").agg(
-        at_rank("rank_lo").alias("a"), at_rank("rank_hi").alias("b"))
-    sure = F.when(F.col("a").isNull() | F.col("b").isNull(), F.raise_error(F.lit("rank outside its bracket")))
-    return ends.select(
-        *[ref(k) for k in keys], "prob",
-        F.coalesce(sure.cast("double"), F.col("a") * (1 - F.col("frac")) + F.col("b") * F.col("frac")).alias("value"),
-    )
-
-
-def _inside(row, lo, hi) -> int:
-    """Upper estimate of the rows between two grid values."""
-    cells = sum(1 for v in row["grid"] if lo <= v <= hi) + 1
-    return int(row["inside"] * (cells / GRID + 4 / ACCURACY)) + 4
-
-
-def wide_quantiles(df, cols, names: dict[str, float], by=(), exact_rows=None) -> DataFrame:
+    Reads ``df`` once. The number of buckets follows from the number of distinct values unless it is given."""
+    keys = [*by, "column"]
+    names = [f"k{i}" for i in range(len(keys))]
+    long = melt_numeric(df, cols, by).select(*[ref(k).alias(n) for k, n in zip(keys, names)], "value")
+    counts = materialise(long.groupBy(*names, "value").agg(F.count(F.lit(1)).alias("c")), "quantile-counts")
+    placed = add_bucket(counts, "value", value_cuts(counts, "value", buckets))
+    # A row per group and bucket: rows before the bucket, and rows of the group.
+    totals = placed.groupBy(*names, "bucket").agg(F.sum("c").alias("w"))
+    group = Window.partitionBy(*names)
+    before = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(n).alias(f"o_{n}") for n in names], F.col("bucket").alias("o_bucket"),
+        F.coalesce(F.sum("w").over(before), F.lit(0)).alias("offset"), F.sum("w").over(group).alias("n"))
+    same = F.col("bucket") == F.col("o_bucket")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"o_{n}"))
+    upto = Window.partitionBy(*names, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.withColumn("run", F.sum("c").over(upto)).join(offsets, same)
+    last = F.col("offset") + F.col("run")
+
+    def ends(p: float):
+        """Share of the upper neighbour, and whether the lower and the upper rank of ``p`` fall on this value."""
+        at = (F.col("n") - 1) * F.lit(float(p))
+        low, high = F.floor(at) + 1, F.ceil(at) + 1
+        inside = lambda rank: (rank <= last) & (rank > last - F.col("c"))
+        return F.struct(F.lit(float(p)).alias("prob"), (at - F.floor(at)).alias("frac"), inside(low).alias("low"), inside(high).alias("high"))
+
+    hit = F.filter(F.array(*[ends(p) for p in dict.fromkeys(probs)]), lambda x: x["low"] | x["high"])
+    found = ranked.select(*names, "value", F.inline(hit))
+    a, b = (F.max(F.when(F.col(c), F.col("value"))) for c in ("low", "high"))
+    return found.groupBy(*names, "prob", "frac").agg(a.alias("a"), b.alias("b")).select(
+        *[F.col(n).alias(k) for k, n in zip(keys, names)], "prob",
+        F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * (1 - F.col("frac")) + F.col("b") * F.col("frac")).alias("value"))
+
+
+def wide_quantiles(df, cols, names: dict[str, float], by=()) -> DataFrame:
     """One row per (by..., column) with a named column for each probability."""
     keys = [*by, "column"]
-    long = quantiles(df, cols, list(names.values()), by, exact_rows)
+    long = quantiles(df, cols, list(names.values()), by)
     return long.groupBy(*[ref(k) for k in keys]).agg(*[
         F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(name)
         for name, p in names.items()
     ])
 
 
-def medians(df: DataFrame, cols: Sequence[str], exact_rows: int | None = None) -> dict[str, float | None]:
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     if not cols:
         return {}
-    found = {r["column"]: r["value"] for r in quantiles(df, cols, [0.5], (), exact_rows).collect()}
+    found = {r["column"]: r["value"] for r in quantiles(df, cols, [0.5]).collect()}
     return {c: found.get(c) for c in cols}
