@@ -37,6 +37,13 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches a few hundred rows at a time: what is made of a slice stays small beside the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def runs(batches, keys: list[str]):
     """Whole runs of equal keys from rows sorted by ``keys``: frames of complete runs and where each begins.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.common import Written
-from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, repeated
+from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, parity64, repeated
 
 
 def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_share: float = 0.3) -> tuple[int, int]:
@@ -172,11 +172,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     posted = rows.mapInArrow(post, "bucket int, keys binary, items binary, documents binary")
     found = Written(posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "key long, item long"), "paragraph-lists")
     exact = found.df.where("key = -1").select("item")
-    lists = found.df.where("key <> -1").withColumn("n", F.lit(1))
-    pivots = lists.groupBy("key").agg(F.min("item").alias("pivot"))
-    stars = lists.join(pivots, "key").where("item <> pivot").select(F.col("item").alias("a"), F.col("pivot").alias("b")).distinct()
+    lists = found.df.where("key <> -1")
 
-    def shingle_sets(wanted):
+    def described(wanted, schema, describe):
+        """One row for each paragraph that the filter lets through, once a task."""
         def pick(batches):
             import pyarrow as pa
 
@@ -184,22 +183,37 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
             for batch in batches:
                 for _, at, items, shingles, _ in cut.chunks(batch.column(0)):
                     live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
-                    names, sets = [], []
+                    names, values = [], []
                     for k in live.tolist():
                         if items[k] not in seen:
                             seen.add(items[k])
                             names.append(items[k])
-                            sets.append(np.unique(shingles[at[k]:at[k] + cut.span]).tobytes())
+                            values.append(describe(np.unique(shingles[at[k]:at[k] + cut.span])))
                     if len(seen) > 200_000:
                         seen.clear()
                     if names:
-                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["item", "tokens"])
-        return pick
+                        kind = pa.binary() if schema == "binary" else pa.int64()
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, kind)], names=["item", "value"])
+
+        made = rows.select("text").mapInArrow(pick, f"item long, value {schema}")
+        return made.groupBy("item").agg(F.first("value").alias("value"))
+
+    bits = described(bloom(lists.select("item").distinct()), "long", parity64).withColumnRenamed("value", "bits")
+    signed = Written(lists.join(bits, "item").select("key", "item", F.lit(1).alias("n"), "bits"), "paragraph-signed")
+    # Similar sets of at most so many shingles differ in at most this many.
+    most_odd = int(2 * (length - width + 1) * (100 - threshold) / (100 + threshold))
+    pivots = signed.df.groupBy("key").agg(F.min(F.struct("item", "bits")).alias("p"))
+    stars = (
+        signed.df.join(pivots, "key").where(F.col("item") != F.col("p.item"))
+        .where(F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) <= most_odd)
+        .select(F.col("item").alias("a"), F.col("p.item").alias("b")).distinct()
+    )
 
     def fetch(wanted):
-        return rows.select("text").mapInArrow(shingle_sets(bloom(wanted)), "item long, tokens binary").dropDuplicates(["item"])
+        return described(bloom(wanted), "binary", lambda own: own.tobytes()).withColumnRenamed("value", "tokens")
 
-    linked = connect(lists, stars, fetch, threshold, "paragraph")
+    linked = connect(signed.df, stars, fetch, threshold, "paragraph", most_odd=most_odd)
+    signed.drop()
     members = Written(
         exact.select("item").union(linked.df.select(F.col("node").alias("item"))).distinct()
         .join(linked.df.withColumnRenamed("node", "item"), "item", "left").select("item", F.coalesce("component", "item").alias("component")),

@@ -11,7 +11,7 @@ from cohortica.llm.cap_filters import _roots
 from cohortica.llm.common import Written, components, runs
 
 # Postings a task packs at a time, and postings a bucket is meant to hold in a reducing task.
-PACK, BUCKET = 500_000, 1_500_000
+PACK, BUCKET = 300_000, 1_500_000
 # Lists up to this size are paired member by member; longer ones meet in blocks, and no pair of theirs is listed.
 SHORT_LIST, BLOCK_ROWS = 24, 512
 BLOOM_BITS = 1 << 25
@@ -242,6 +242,12 @@ def sizes_fit(threshold: int, a: str, b: str):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * threshold)
 
 
+def parity64(values: np.ndarray) -> int:
+    """Parities of a set on 64 places, as a signed number."""
+    odd = np.bitwise_xor.reduce(np.uint64(1) << (values >> np.uint64(58)))
+    return int(odd.astype(np.int64)) if len(values) else 0
+
+
 def parity(values: np.ndarray) -> bytes:
     """A bitmap of about one bit per element: whether an odd number of elements falls on each place."""
     places = 1 << max(6, (len(values) - 1).bit_length())
@@ -275,42 +281,49 @@ def sieve(pairs: DataFrame, bitmaps: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(live, "a long, b long")
 
 
-def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str, bitmaps: DataFrame | None = None) -> Written:
+def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str, sieved=None, most_odd: int = 64) -> Written:
     """Components of all items linked by similarity, among those that share a list.
 
-    ``lists`` (key, item, n): every two linked items share a key. ``stars`` (a, b): pairs to try first, linear in the
-    lists. ``fetch`` gives the sets (item, tokens) of at least the items of a frame; ``bitmaps`` sieve pairs before.
+    ``lists`` (key, item, n, and if known bits): every two linked items share a key. ``stars`` (a, b): pairs to try first,
+    linear in the lists. ``fetch`` gives the sets (item, tokens) of at least the items of a frame; ``sieved`` drops pairs
+    that cannot be similar, and so do bits (parities of the set on 64 places) that differ on more than ``most_odd``.
     Items already connected need no further test; so after the stars only lists that still span several components
     are searched: short ones pair by pair, long ones in blocks whose pairs are never listed."""
 
     def verified(pairs: DataFrame, step: str) -> Written:
-        left = Written(sieve(pairs, bitmaps, threshold) if bitmaps is not None else pairs, f"{name}-{step}-pairs")
+        left = Written(sieved(pairs) if sieved else pairs, f"{name}-{step}-pairs")
         sets = Written(fetch(left.df.select(F.col("a").alias("item")).union(left.df.select("b")).distinct()), f"{name}-{step}-sets")
         linked = Written(similar(left.df, sets.df, threshold), f"{name}-{step}-links")
         left.drop()
         sets.drop()
         return linked
 
+    if "bits" not in lists.columns:
+        lists = lists.withColumn("bits", F.lit(0).cast("long"))
     first = verified(stars, "star")
     known = components(first.df, f"{name}-first")
     placed = lists.join(known.df.withColumnRenamed("node", "item"), "item", "left").withColumn("component", F.coalesce("component", "item"))
     spread = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y")
-    open_lists = Written(placed.join(spread.select("key", "size"), "key").select("key", "item", "n", "component", "size"), f"{name}-open")
+    open_lists = Written(placed.join(spread.select("key", "size"), "key").select("key", "item", "n", "bits", "component", "size"), f"{name}-open")
 
     def pair(batches):
-        for pdf, starts in runs(batches, ["key"]):
-            item, n, comp = pdf["item"].to_numpy(), pdf["n"].to_numpy(), pdf["component"].to_numpy()
+        for pdf, _ in runs(batches, ["key"]):
+            key, item, n, bits, comp = (pdf[c].to_numpy() for c in ("key", "item", "n", "bits", "component"))
             out = []
-            for a, b in zip(starts, [*starts[1:], len(pdf)]):
-                i, j = np.triu_indices(b - a, 1)
-                i, j = i + a, j + a
+            for d in range(1, SHORT_LIST):  # rows of a key stand together: all its pairs are so many rows apart
+                i = np.flatnonzero(key[d:] == key[:-d])
+                if not len(i):
+                    break
+                j = i + d
                 live = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * threshold)
-                out.append(np.stack([np.minimum(item[i[live]], item[j[live]]), np.maximum(item[i[live]], item[j[live]])], axis=1))
+                live &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= most_odd
+                i, j = i[live], j[live]
+                out.append(np.stack([np.minimum(item[i], item[j]), np.maximum(item[i], item[j])], axis=1))
             if out and sum(map(len, out)):
                 yield pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
 
     short = open_lists.df.where(F.col("size") <= SHORT_LIST).repartition("key").sortWithinPartitions("key")
-    pairs = short.select("key", "item", "n", "component").mapInPandas(pair, "a long, b long").distinct()
+    pairs = short.select("key", "item", "n", "bits", "component").mapInPandas(pair, "a long, b long").distinct()
     long = (
         open_lists.df.where(F.col("size") > SHORT_LIST).withColumn("parts", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))

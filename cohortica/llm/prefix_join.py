@@ -7,8 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written, runs
-from cohortica.llm.postings import BUCKET, Packer, Shingler, bloom, bucket_of, connect, identity, in_bloom, mix, named_by, parity, repeated, sizes_fit
+from cohortica.llm.common import Written, runs, slices
+from cohortica.llm.postings import BUCKET, Packer, Shingler, bloom, bucket_of, connect, identity, in_bloom, mix, named_by, parity, repeated, sieve, sizes_fit
 
 # Places of the frequency sketch that orders shingles: one byte each, sent to every task. Fixed, whatever the input.
 SKETCH = 1 << 24
@@ -48,7 +48,7 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
                 if len(own):
                     held.append(own)
                     size += len(own)
-                if size > 1_000_000:
+                if size > 600_000:
                     yield flush()
                     size = 0
         if size:
@@ -128,7 +128,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches, 2048):
             out = []
             for k, (i, own) in enumerate(zip(batch.column(0).to_pylist(), shingler.sets(batch.column(1)))):
                 if not len(own):
@@ -209,7 +209,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
         documents.join(items.df.select("item").distinct(), "item", "left_semi").groupBy("item")
         .agg(F.min("n").alias("n"), F.min("bitmap").alias("bitmap")), "prefix-bitmaps")
     linked = connect(
-        items.df, stars, lambda wanted: token_sets(rows, bloom(wanted.join(homes, "item")), width), threshold, "prefix", bitmaps.df)
+        items.df, stars, lambda wanted: token_sets(rows, bloom(wanted.join(homes, "item")), width), threshold, "prefix",
+        lambda pairs: sieve(pairs, bitmaps.df, threshold))
     items.drop()
     bitmaps.drop()
     own = documents.select(F.col("id").cast(kind).alias("id"), "item", "n")
@@ -228,10 +229,10 @@ def token_sets(rows: DataFrame, wanted: np.ndarray, width: int) -> DataFrame:
         import pyarrow as pa
 
         shingler, seen = Shingler(width), set()
-        for batch in batches:
-            own = [x for x in shingler.sets(batch.column(1))]
+        for batch in slices(batches):
+            own = [*shingler.sets(batch.column(1))]
             names = np.array([identity(x) if len(x) else 0 for x in own], np.int64)
-            live = in_bloom(wanted, named_by(names, batch.column(0).to_pylist())) if len(names) else names
+            live = in_bloom(wanted, named_by(names, batch.column(0).to_pylist()))
             items, sets = [], []
             for k in np.flatnonzero(live):
                 if len(own[k]) and names[k] not in seen:
