@@ -34,14 +34,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def materialise(df: DataFrame, name: str, deal_by: str | None = None) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialise(df: DataFrame, name: str, deal_by: str | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Cuts lineage and survives lost executors; later readers still prune columns. With
     ``deal_by``, a key column, rows are first dealt evenly over partitions of adaptive
-    number: for tables that many passes read."""
+    number: for tables that many passes read. Whoever gives the ``path`` can ``remove`` it later."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = path or fresh_path(spark, name)
     if deal_by:
         df = df.repartition(deal_by)
     df.write.parquet(path)
