@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortica.llm.common import slices
+
 WIDTHS = (2, 3, 4)
 WINDOW = 128
 # Neighbouring windows share the bytes that a filter may span, so no stretch of text falls between two of them.
@@ -158,7 +160,7 @@ def predict(df: DataFrame, network: Network | None, id_col: str = "doc_id", text
         import regex
 
         letter, compiled = regex.compile(r"\p{L}"), network.compiled() if network else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             label, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             held, size = [], 0

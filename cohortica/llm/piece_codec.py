@@ -7,13 +7,14 @@ import heapq
 import re
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.llm.common import slices
+
 SPACE = "▁"
 # Segments remembered by a task; the memory is emptied beyond that.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 class Vocabulary:
@@ -132,7 +133,7 @@ class Encoder:
                 limit, tie_goes_first, x = rank[x], False, px[1]
             else:
                 limit, tie_goes_first, y = rank[y], True, py[0]
-        if len(self.fits) > 4 * MEMORY:
+        if len(self.fits) > 2 * MEMORY:
             self.fits.clear()
         self.fits[key] = ok
         return ok
@@ -185,7 +186,9 @@ class Encoder:
 
     def entry(self, segment: str) -> tuple[int, str, str]:
         ids = self.ids(segment)
-        made = (len(ids), "".join([f",{i}" for i in ids]), self.text(ids))
+        text = self.text(ids)
+        # Kept once where decoding gives the segment back.
+        made = (len(ids), "".join([f",{i}" for i in ids]), segment if text == segment else text)
         if len(segment) <= 48:
             if len(self.seen) >= MEMORY:
                 self.seen.clear()
@@ -225,54 +228,67 @@ class Encoder:
         return sum(n), "".join(ids)[1:], "".join(texts).removeprefix(SPACE).replace(SPACE, " ")
 
 
-def _rows(df: DataFrame, id_col: str, text_col: str, make, schema: str) -> DataFrame:
-    """``make`` applied to (id as text, text) batches; the id gets its type back."""
-    kind = dict(df.dtypes)[id_col]
-    rows = df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    made = rows.mapInPandas(make, f"id string, {schema}")
-    return made.select(F.col("id").cast(kind).alias(id_col), *made.columns[1:])
+def _rows(df: DataFrame, id_col: str, value_col: str, model: str, work, schema: str) -> DataFrame:
+    """``work`` (encoder, values) of some hundred rows at a time gives Arrow columns; the id passes through as text."""
+    vocabulary, kind = Vocabulary(model), dict(df.dtypes)[id_col]
+    rows = df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{value_col}`").alias("value"))
+    names = ["id", *[c.split()[0] for c in schema.split(", ")]]
+
+    def make(batches):
+        import pyarrow as pa
+
+        encoder = Encoder(vocabulary)
+        for part in slices(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), *work(encoder, part.column(1).to_pylist())], names=names)
+
+    made = rows.mapInArrow(make, f"id string, {schema}")
+    return made.select(F.col("id").cast(kind).alias(id_col), *names[1:])
+
+
+def _lists(values: list[np.ndarray]):
+    import pyarrow as pa
+
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *values]).astype(np.int32)))
 
 
 def encode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): every whole text as ids of ``model``, one row per input row; null and empty texts give no ids."""
-    vocabulary = Vocabulary(model)
 
-    def make(batches):
-        encoder = Encoder(vocabulary)
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "ids": [encoder.encode(t or "") for t in pdf["text"]]})
+    def work(encoder, texts):
+        return [_lists([np.array(encoder.encode(t or ""), np.int32) for t in texts])]
 
-    return _rows(df, id_col, text_col, make, "ids array<int>")
+    return _rows(df, id_col, text_col, model, work, "ids array<int>")
 
 
 def decode(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, text) from ids; null ids give an empty text."""
-    vocabulary = Vocabulary(model)
 
-    def make(batches):
-        encoder = Encoder(vocabulary)
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "text": ["" if t is None else encoder.decode(list(t)) for t in pdf["text"]]})
+    def work(encoder, lists):
+        import pyarrow as pa
+
+        return [pa.array(["" if ids is None else encoder.decode(ids) for ids in lists], pa.string())]
 
-    return _rows(df, id_col, ids_col, make, "text string")
+    return _rows(df, id_col, ids_col, model, work, "text string")
 
 
 def digests(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again; ``with_ids`` adds ids.
 
     One row per input row; null and empty texts have no ids and the digests of empty texts."""
-    vocabulary = Vocabulary(model)
 
-    def make(batches):
-        encoder = Encoder(vocabulary)
-        for pdf in batches:
-            rows = []
-            for t in pdf["text"]:
-                n, ids, text = encoder.digest(t or "")
-                row = (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
-                rows.append((*row, np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32)) if with_ids else row)
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
-            out.insert(0, "id", pdf["id"].to_numpy())
-            yield out
-
-    return _rows(df, id_col, text_col, make, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    def work(encoder, texts):
+        import pyarrow as pa
+
+        counts, digests_, decoded, ids_ = [], [], [], []
+        for t in texts:
+            n, ids, text = encoder.digest(t or "")
+            counts.append(n)
+            digests_.append(hashlib.sha256(ids.encode()).hexdigest())
+            decoded.append(hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
+            if with_ids:
+                ids_.append(np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32))
+        out = [pa.array(counts, pa.int64()), pa.array(digests_, pa.string()), pa.array(decoded, pa.string())]
+        return [*out, _lists(ids_)] if with_ids else out
+
+    return _rows(df, id_col, text_col, model, work, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -8,10 +8,11 @@ import hashlib
 import json
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortica.llm.common import slices
+
 KINDS = ("assign", "access", "hex", "pem", "jwt", "b64key", "hexkey")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -167,33 +168,39 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     without secrets have zero counts and empty spans. Other columns are not read."""
 
     def find(batches):
-        for pdf in batches:
+        import pyarrow as pa
+
+        for part in slices(batches):
             rows = []
-            for i, text in zip(pdf["id"], pdf["text"]):
+            for text in part.column(1).to_pylist():
                 spans = find_spans(text or "")
                 n = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
                 base = joined([s for s in spans if s[1] < 3])
-                rows.append((i, *n, len(spans) - sum(n), hashlib.sha256(base.encode()).hexdigest(), joined(spans)))
-            yield pd.DataFrame(rows, columns=names).astype({"id": pdf["id"].dtype})
+                rows.append((*n, len(spans) - sum(n), hashlib.sha256(base.encode()).hexdigest(), joined(spans)))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]], names=names)
 
     names = ["id", "n_assign", "n_access", "n_hex", "n_confirmed", "base_sha256", "spans"]
     ids = F.col(f"`{id_col}`").cast("string").alias("id")
     kind = dict(df.dtypes)[id_col]
-    found = df.select(ids, F.col(f"`{text_col}`").alias("text")).mapInPandas(
+    found = df.select(ids, F.col(f"`{text_col}`").alias("text")).mapInArrow(
         find, "id string, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string")
     return found.select(F.col("id").cast(kind).alias(id_col), *names[1:])
 
 
 def redacted(df: DataFrame, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
     """All columns of ``df`` with secrets in ``text_col`` masked; null texts stay null."""
-    schema = df.schema
+    at, names = df.columns.index(text_col), df.columns
 
     def mask_all(batches):
-        for pdf in batches:
-            yield pdf.assign(**{text_col: [None if t is None else redact(t, mask) for t in pdf[text_col]]})
-
-    # Ids as text on the way through pandas, so that null whole numbers survive.
-    names = df.columns
-    through = df.select(*[F.col(f"`{c}`").cast("string").alias(c) if t in ("bigint", "int", "smallint", "tinyint") else F.col(f"`{c}`") for c, t in df.dtypes])
-    out = through.mapInPandas(mask_all, through.schema)
-    return out.select(*[F.col(f"`{c}`").cast(schema[c].dataType).alias(c) for c in names])
+        import pyarrow as pa
+
+        for part in slices(batches):
+            texts = pa.array([None if t is None else redact(t, mask) for t in part.column(at).to_pylist()], part.schema.field(at).type)
+            columns = [texts if k == at else c for k, c in enumerate(part.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    # Columns travel by place, so any names may stand beside the text.
+    plain = [f"c{k}" for k in range(len(names))]
+    renamed = df.toDF(*plain)
+    return renamed.mapInArrow(mask_all, renamed.schema).toDF(*names)
