@@ -175,7 +175,7 @@ def repeated(key: np.ndarray, item: np.ndarray) -> np.ndarray:
 def bloom(items: DataFrame) -> np.ndarray:
     """A filter of ``BLOOM_BITS`` bits over the column ``item``, with the row's ``id`` (a text) if there is one: its size
     never grows. Once full it keeps everything."""
-    chunk, with_id = 1 << 15, "id" in items.columns
+    chunk, with_id = 1 << 17, "id" in items.columns
 
     def bits(batches):
         held = {}
@@ -184,9 +184,12 @@ def bloom(items: DataFrame) -> np.ndarray:
             if with_id:
                 named = named_by(named, pdf["id"])
             at = np.unique(bloom_places(named).ravel())
-            for c in np.unique(at >> 15):
-                own = held.setdefault(int(c), np.zeros(chunk // 8, np.uint8))
-                np.bitwise_or.at(own, (at[at >> 15 == c] & (chunk - 1)) >> 3, (1 << (at[at >> 15 == c] & 7)).astype(np.uint8))
+            home = at // chunk
+            starts = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(at) else at
+            for a, b in zip(starts, [*starts[1:], len(at)]):
+                own = held.setdefault(int(home[a]), np.zeros(chunk // 8, np.uint8))
+                here = at[a:b] % chunk
+                np.bitwise_or.at(own, here >> 3, (1 << (here & 7)).astype(np.uint8))
         if held:
             yield pd.DataFrame({"chunk": list(held), "bits": [b.tobytes() for b in held.values()]})
 
