@@ -196,7 +196,7 @@ def i13(spark, sf):
 SELECT label, FALSE AS synthetic, n FROM c
 UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""")
 def g2(spark, sf):
-    out = resample.smote(_smote_input(spark, sf), "row_id")
+    out = resample.smote(_smote_input(spark, sf), "row_id", trees=FULL.smote_trees, leaf_rows=FULL.smote_leaf_rows)
     return out.groupBy("label", F.col("row_id").startswith("synthetic").alias("synthetic")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -256,6 +256,11 @@ def i16(spark, sf):
     return _checked_reports(_train_and_report(spark, sf, "BINN_XGB", settings=FULL))
 
 
+def flagship(spark, sf):
+    """Reports of plain and weighted logistic regression on the held-out cases."""
+    return _report_columns(_train_and_report(spark, sf, "BASE_LR", "BASE_LR_BALANCE", settings=FULL))
+
+
 def _searched(spark, sf, name):
     table_, _, _ = training.prepare(cases(spark, sf), SEARCH)
     config = next(c for c in training.training_matrix() if c.model == name)

@@ -4,6 +4,8 @@ import __spark_entry__ as entry
 from compare import connect, difference
 
 ORACLES = entry.oracle_sql()
+# A full boosted fit and the whole matrix take minutes each; ``compare.py`` runs them next to their SQL.
+LONG = {"i16_boosted", "i20_training_matrix"}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - LONG))
 def test_query_equals_sql(spark, sf, con, name):
     assert difference(entry.queries()[name](spark, sf), con, ORACLES[name]) is None
 
