@@ -103,7 +103,8 @@ def nearest(
     dims, n, radius = kinds[0]
     rows = rows.where(F.size("v") == dims)
     sample = rows.orderBy(F.xxhash64("id"), "v").limit(sample_rows).select("v").toPandas()["v"]
-    index = Index(np.stack(sample.to_numpy()), radius, int(min(max_lists, max(1, round(n ** 0.5)))))
+    # Few rows make one list, so a query with fewer than k candidates finds them all.
+    index = Index(np.stack(sample.to_numpy()), radius, int(min(max_lists, max(1, min(round(n ** 0.5), n // k)))))
     probes = max(1, round(probe * len(index.centres)))
 
     def assign(batches):

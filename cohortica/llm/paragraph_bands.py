@@ -88,8 +88,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     """Paragraphs that repeat, exactly or with ``threshold`` hundredths of their shingles, across documents.
 
     One row per such paragraph: id, start, end (code points of the text, end exclusive), component_id (the smallest
-    id among the documents of its component), n_documents is not counted but ``removed`` tells whether a document of
-    smaller id holds a paragraph of the component, so that this one can go. All paragraphs of all texts are compared.
+    id among the documents of its component) and removed (true unless this is that document, so the paragraph can go).
+    All paragraphs of all texts are compared.
 
     Null and empty texts and texts of fewer than ``length`` words have no paragraphs; what repeats only within one id is
     not reported, so repeated rows of an id alone are no repeats. Rows without an id are left out."""

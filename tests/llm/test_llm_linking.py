@@ -159,6 +159,14 @@ def test_nearest_recall_on_table(spark):
     assert hits >= 0.9 * total and out["query_id"].nunique() == (ids % 20 == 0).sum()
 
 
+@pytest.mark.parametrize("n", [2, 12, 19, 21])
+def test_nearest_finds_all_of_few(spark, n):
+    rng = np.random.RandomState(n)
+    rows = [(20 * k, rng.normal(size=6).tolist(), 0, "", 0) for k in range(n)]
+    out = adaptive_scan.nearest(spark.createDataFrame(rows, SCHEMA))
+    assert out.count() == n * min(20, n - 1)
+
+
 def test_nearest_of_few(spark):
     assert adaptive_scan.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     out = adaptive_scan.nearest(spark.createDataFrame([(0, [1.0, 0.0], 0, "", 0), (1, [1.0, 1.0], 0, "", 0), (40, [0.5, 0.5], 0, "", 0)], SCHEMA))
