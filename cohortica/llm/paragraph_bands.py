@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.common import Written
-from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, parity64, repeated
+from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, parity64, repeated, sizes_fit
 
 
 def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_share: float = 0.3) -> tuple[int, int]:
@@ -22,15 +22,20 @@ def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_shar
 
 
 class Paragraphs:
-    """Cuts texts into paragraphs of ``length`` words that begin where the text itself says so, and signs them.
+    """Cuts texts into units and signs them.
 
-    A paragraph begins at each word whose pair with the next word has the smallest hash among the ``reach`` words on
-    either side. So a passage copied into the middle of another text yields the same paragraphs there, wherever its
-    lines break, as long as it is some ``length + 2 * reach`` words long."""
+    Units that are compared by similarity: the texts' own paragraphs (lines, and blocks between blank lines) of
+    ``least`` words or more, as long as they are, and windows of ``length`` words that begin where the text itself says
+    so: at each word whose pair with the next word has the smallest hash among the ``reach`` words on either side.
 
-    def __init__(self, length: int = 20, reach: int = 6, width: int = 5, bands: int = 7, rows: int = 2, seed: int = 23):
-        self.length, self.reach, self.bands, self.rows = length, reach, bands, rows
-        self.shingler, self.span = Shingler(width), length - width + 1
+    Units that are compared exactly: every window of ``length`` words, and own paragraphs of ``least`` to ``length - 1``
+    words. Windows have a mark: of the runs of ``gram`` words in a window the one of the smallest hash. So equal windows
+    have equal marks, and neighbours mostly share theirs."""
+
+    def __init__(self, length: int = 20, reach: int = 6, width: int = 5, bands: int = 7, rows: int = 2, least: int = 10,
+                 gram: int = 12, seed: int = 23):
+        self.length, self.reach, self.bands, self.rows, self.least, self.gram = length, reach, bands, rows, least, min(gram, length)
+        self.shingler, self.width, self.whole, self.part = Shingler(width), width, Shingler(length), Shingler(self.gram)
         rng = np.random.RandomState(seed)
         self.seeds = rng.randint(1, 1 << 62, bands * rows, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -51,91 +56,161 @@ class Paragraphs:
         at = at[at + self.length <= len(words)]
         return at[text[at] == text[at + self.length - 1]]
 
-    def chunks(self, column):
-        """(text of each paragraph, its first word, items, shingle hashes, rest of the chunk) per chunk of a column.
+    def own(self, data: np.ndarray, firsts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of the texts' own paragraphs: lines, and blocks of several lines between blank ones."""
+        breaks = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, np.int64)
+        apart = np.r_[0, np.diff(breaks)] if len(starts) else breaks
+        found = []
+        for least in (1, 2):
+            edge = np.unique(np.r_[firsts, np.flatnonzero(apart >= least)])
+            found.append(np.stack([edge[:-1], edge[1:]], axis=1))
+        both = np.unique(np.concatenate(found), axis=0)
+        both = both[both[:, 1] - both[:, 0] >= max(self.least, self.width)]
+        return both[:, 0], both[:, 1]
+
+    def items(self, shingles: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """64 bits that name the bag of shingles of each unit."""
+        if not len(at):
+            return np.zeros(0, np.int64)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(shingles) + 1, np.uint64)
+            np.cumsum(mix(shingles ^ M2), out=sums[1:])
+            return mix(sums[stop - self.width + 1] - sums[at]).view(np.int64)
 
-        An item names the bag of shingles of a paragraph by 64 bits."""
+    def chunks(self, column):
+        """(text of each unit, its first word, its end, items, shingle hashes, rest of the chunk) per chunk of a column."""
         done = 0
         for firsts, words, data, bounds, starts, ends in self.shingler.words(column):
             text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
             at = self.begins(words, text)
+            own, stop = self.own(data, firsts, starts)
+            at, stop = np.r_[at, own], np.r_[at + self.length, stop]
+            order = np.lexsort((stop, at))
+            at, stop = at[order], stop[order]
+            new = np.r_[True, (at[1:] != at[:-1]) | (stop[1:] != stop[:-1])] if len(at) else np.zeros(0, bool)
+            at, stop = at[new], stop[new]
             shingles = self.shingler.rolled(words)
-            with np.errstate(over="ignore"):
-                sums = np.zeros(len(shingles) + 1, np.uint64)
-                np.cumsum(mix(shingles ^ M2), out=sums[1:])
-                items = mix(sums[at + self.span] - sums[at]).view(np.int64) if len(at) else np.zeros(0, np.int64)
-            yield done + text[at] if len(at) else at, at, items, shingles, (data, bounds, starts, ends)
+            yield done + text[at] if len(at) else at, at, stop, self.items(shingles, at, stop), shingles, (firsts, text, words, data, bounds, starts, ends, done)
             done += len(firsts) - 1
 
-    def keys(self, shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """A key per paragraph and band: the smallest of each row's hashes over the shingles of the paragraph."""
-        out = []
+    def keys(self, shingles: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """A key per unit and band: the smallest of each row's hashes over the shingles of the unit."""
+        out, edges = [], np.stack([at, stop - self.width + 1], axis=1).ravel()
         with np.errstate(over="ignore"):
             for b in range(self.bands):
                 key = np.full(len(at), b + 1, np.uint64)
                 for seed in self.seeds[b * self.rows:(b + 1) * self.rows]:
-                    low, step = mix(shingles * seed), 1
-                    while step * 2 <= self.span:  # minima over doubling stretches
-                        low = np.minimum(low[:-step], low[step:])
-                        step *= 2
-                    key = mix(key * M1 + np.minimum(low[at], low[at + self.span - step]))
+                    low = np.append(mix(shingles * seed), ~np.uint64(0))
+                    key = mix(key * M1 + np.minimum.reduceat(low, edges)[::2])
                 out.append(key)
         return np.stack(out, axis=1)
 
+    def lowest(self, words: np.ndarray, text: np.ndarray):
+        """(hash of each run of ``gram`` words, the smallest of each window of ``length`` words, which windows lie in one text)."""
+        value, n, count = self.part.rolled(words), self.length - self.gram + 1, max(0, len(words) - self.length + 1)
+        if not count:
+            return value, value[:0], np.zeros(0, bool)
+        low, step = value, 1
+        while step * 2 <= n:
+            low = np.minimum(low[:-step], low[step:])
+            step *= 2
+        return value, np.minimum(low[:count], low[n - step:][:count]), text[:count] == text[self.length - 1:]
+
+    def marks(self, words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, name) of the marks of all windows of ``length`` words."""
+        value, low, inside = self.lowest(words, text)
+        chosen = np.zeros(len(value), bool)
+        for k in range(self.length - self.gram + 1):
+            chosen[k:k + len(low)] |= inside & (value[k:k + len(low)] == low)
+        at = np.flatnonzero(chosen)
+        return at, value[at].view(np.int64)
+
+    def windows(self, words: np.ndarray, text: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """First words of the windows of ``length`` words whose mark passes the filter."""
+        _, low, inside = self.lowest(words, text)
+        at = np.flatnonzero(inside)
+        mark = low[at]
+        new = np.r_[True, mark[1:] != mark[:-1]] if len(at) else inside  # neighbours mostly share their mark
+        live = in_bloom(wanted, mark[new].view(np.int64)) if len(at) else inside
+        return at[live[np.cumsum(new) - 1]] if len(at) else at
+
+
+def cover(start: np.ndarray, end: np.ndarray) -> list[int]:
+    """Of spans sorted by start, longer ones first, few that cover the same stretches."""
+    own = np.flatnonzero(np.r_[True, end[1:] > np.maximum.accumulate(end)[:-1]])  # those in no earlier one
+    start, end, chosen, k = start[own], end[own], [], 0
+    while k < len(own):
+        chosen.append(int(own[k]))
+        k = max(k + 1, int(np.searchsorted(start, end[k], side="left")) - 1)
+    return chosen
+
+
+def few(text: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Places of the first two texts of each item: more of them add nothing."""
+    order = np.lexsort((text, item))
+    i, t = item[order], text[order]
+    new = np.r_[True, (i[1:] != i[:-1]) | (t[1:] != t[:-1])]
+    order, i = order[new], i[new]
+    return order[np.r_[True, True, i[2:] != i[:-2]][:len(i)]]
+
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75, length: int = 20,
-            reach: int = 6, width: int = 5) -> DataFrame:
-    """Paragraphs that repeat, exactly or with ``threshold`` hundredths of their shingles, across documents.
+            reach: int = 6, width: int = 5, least: int = 10) -> DataFrame:
+    """Passages that repeat across documents, exactly or with ``threshold`` hundredths of their shingles.
+
+    Exactly: every window of ``length`` words that two documents hold, and every own paragraph (line, or block between
+    blank lines) of ``least`` to ``length - 1`` words. Windows are compared at each word, so rows together cover a
+    repeated passage of ``length`` words or more from its first word to its last, wherever lines break.
+    Nearly: own paragraphs of ``least`` words or more, as wholes, and windows that begin at content-defined words.
 
-    One row per such paragraph: id, start, end (code points of the text, end exclusive), component_id (the smallest
-    id among the documents of its component) and removed (true unless this is that document, so the paragraph can go).
-    All paragraphs of all texts are compared.
+    One row per stretch: id, start, end (code points of the text, end exclusive), component_id (the smallest
+    id among the documents of its component) and removed (true unless this is that document, so the stretch can go). A
+    stretch is ``length`` words, or a shorter own paragraph; longer passages have several that overlap or follow
+    one another. Exact stretches form a component with the documents that hold the same words.
 
-    Null and empty texts and texts of fewer than ``length`` words have no paragraphs; what repeats only within one id is
-    not reported, so repeated rows of an id alone are no repeats. Rows without an id are left out."""
+    Shorter texts and paragraphs have no rows; what repeats only within one id is not reported, so repeated rows of an
+    id alone are no repeats. Rows without an id are left out."""
     kind = dict(df.dtypes)[id_col]
-    rows = df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id IS NOT NULL")
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id IS NOT NULL")
+    # Documents by numbers in the order of their ids.
+    numbers = None
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        rows = rows.select(F.col("id").cast("long").alias("id"), "text")
+    else:
+        numbers = Written(rows.select("id").distinct().orderBy("id").withColumn("number", F.monotonically_increasing_id()), "paragraph-ids")
+        rows = Written(rows.join(numbers.df, "id").select(F.col("number").alias("id"), "text"), "paragraph-rows").df
     chars = int(rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     bands, band_rows = tune(threshold / 100)
-    buckets = max(256, -(-int(chars / 6 / (reach * 2) * (bands + 1)) // BUCKET))
+    buckets = max(256, -(-int(chars / 6 / (reach * 2) * (bands + 1) * 1.5) // BUCKET))
     # Plain values only: each task builds its own cutter.
-    setting = dict(length=length, reach=reach, width=width, bands=bands, rows=band_rows)
+    setting = dict(length=length, reach=reach, width=width, bands=bands, rows=band_rows, least=least)
 
     def post(batches):
         import pyarrow as pa
-        import xxhash
 
-        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8"]), Packer(buckets, ["<i8", "<u4"]), {}
-        names, kinds = ["bucket", "keys", "items", "documents"], [pa.int32(), *[pa.binary()] * 3]
+        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8"]), Packer(buckets, ["<i8"]), set()
+        names, kinds = ["bucket", "keys", "items", "marks"], [pa.int32(), *[pa.binary()] * 3]
 
         def packed():
-            rows = [(b, *cells, None) for b, cells in lists.pack()] + [(b, *cells) for b, cells in exact.pack()]
+            rows = [(b, *cells, None) for b, cells in lists.pack()] + [(b, None, None, cells[1]) for b, cells in exact.pack()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            # Names of documents by a hash of the id: two documents of one item are all that is asked for.
-            marks = np.array([xxhash.xxh32_intdigest(i) for i in batch.column(0).to_pylist()], np.uint32)
-            for text, at, items, shingles, _ in cut.chunks(batch.column(1)):
-                if not len(at):
-                    continue
-                keys = cut.keys(shingles, at)
-                new, again = [], []
-                for k, (item, mark) in enumerate(zip(items.tolist(), marks[text].tolist())):
-                    before = seen.get(item)
-                    if before is None:
-                        seen[item] = mark
+            for _, at, stop, items, shingles, (_, text, words, *_) in cut.chunks(batch.column(1)):
+                new = []
+                for k, item in enumerate(items.tolist()):
+                    if item not in seen:
+                        seen.add(item)
                         new.append(k)
-                        again.append(k)
-                    elif before >= 0 and before != mark:  # a second document; more of them add nothing
-                        seen[item] = -1
-                        again.append(k)
                 if len(seen) > 200_000:
                     seen.clear()
-                new, again = np.array(new, np.int64), np.array(again, np.int64)
-                if len(new):
-                    lists.add(keys[new].ravel(), np.repeat(items[new], bands))
-                if len(again):
-                    exact.add(items[again].view(np.uint64), items[again], marks[text[again]])
+                if new:
+                    new = np.array(new, np.int64)
+                    lists.add(cut.keys(shingles, at[new], stop[new]).ravel(), np.repeat(items[new], bands))
+                first, mark = cut.marks(words, text)
+                if len(mark):
+                    mark = mark[few(text[first], mark)]
+                    exact.add(mark.view(np.uint64), mark)
                 if lists.full() or exact.full():
                     yield packed()
         if lists.count or exact.count:
@@ -153,9 +228,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
                 at = repeated(key, item)
                 made = [bucket << 32 | key[at].astype(np.int64), item[at]]
             if held[True]:
-                item, mark = (np.concatenate([np.frombuffer(c[k], t) for c in held[True]]) for k, t in ((1, "<i8"), (2, "<u4")))
-                at = repeated(item, mark)
-                twice = np.unique(item[at])
+                mark = np.sort(np.concatenate([np.frombuffer(c[2], "<i8") for c in held[True]]))
+                twice = np.unique(mark[1:][mark[1:] == mark[:-1]])
                 made = [np.r_[made[0], np.full(len(twice), -1)], np.r_[made[1], twice]]
             return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64())], names=["key", "item"])
 
@@ -169,81 +243,196 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
         if bucket is not None:
             yield out()
 
-    posted = rows.mapInArrow(post, "bucket int, keys binary, items binary, documents binary")
+    posted = rows.mapInArrow(post, "bucket int, keys binary, items binary, marks binary")
     found = Written(posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "key long, item long"), "paragraph-lists")
-    exact = found.df.where("key = -1").select("item")
     lists = found.df.where("key <> -1")
+    same = _same(rows, bloom(found.df.where("key = -1").select("item")), chars, setting)
 
     def described(wanted, schema, describe):
-        """One row for each paragraph that the filter lets through, once a task."""
+        """One row for each unit that the filter lets through, once a task."""
         def pick(batches):
             import pyarrow as pa
 
             cut, seen = Paragraphs(**setting), set()
             for batch in batches:
-                for _, at, items, shingles, _ in cut.chunks(batch.column(0)):
+                for _, at, stop, items, shingles, _ in cut.chunks(batch.column(0)):
                     live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
-                    names, values = [], []
+                    names, values, sizes = [], [], []
                     for k in live.tolist():
                         if items[k] not in seen:
                             seen.add(items[k])
+                            own = np.unique(shingles[at[k]:stop[k] - width + 1])
                             names.append(items[k])
-                            values.append(describe(np.unique(shingles[at[k]:at[k] + cut.span])))
+                            values.append(describe(own))
+                            sizes.append(len(own))
                     if len(seen) > 200_000:
                         seen.clear()
                     if names:
                         kind = pa.binary() if schema == "binary" else pa.int64()
-                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, kind)], names=["item", "value"])
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, kind), pa.array(sizes, pa.int64())], names=["item", "value", "n"])
 
-        made = rows.select("text").mapInArrow(pick, f"item long, value {schema}")
-        return made.groupBy("item").agg(F.first("value").alias("value"))
+        made = rows.select("text").mapInArrow(pick, f"item long, value {schema}, n long")
+        return made.groupBy("item").agg(F.first("value").alias("value"), F.first("n").alias("n"))
 
     bits = described(bloom(lists.select("item").distinct()), "long", parity64).withColumnRenamed("value", "bits")
-    signed = Written(lists.join(bits, "item").select("key", "item", F.lit(1).alias("n"), "bits"), "paragraph-signed")
-    # Similar sets of at most so many shingles differ in at most this many.
-    most_odd = int(2 * (length - width + 1) * (100 - threshold) / (100 + threshold))
-    pivots = signed.df.groupBy("key").agg(F.min(F.struct("item", "bits")).alias("p"))
+    signed = Written(lists.join(bits, "item").select("key", "item", "n", "bits"), "paragraph-signed")
+    found.drop()
+    pivots = signed.df.groupBy("key").agg(F.min(F.struct("item", "bits", "n")).alias("p"))
     stars = (
-        signed.df.join(pivots, "key").where(F.col("item") != F.col("p.item"))
-        .where(F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) <= most_odd)
+        signed.df.join(pivots, "key").where(F.col("item") != F.col("p.item")).where(sizes_fit(threshold, F.col("n"), F.col("p.n")))
+        # Similar sets differ in at most this share of their elements.
+        .where(F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) * (100 + threshold) <= (F.col("n") + F.col("p.n")) * (100 - threshold))
         .select(F.col("item").alias("a"), F.col("p.item").alias("b")).distinct()
     )
 
     def fetch(wanted):
-        return described(bloom(wanted), "binary", lambda own: own.tobytes()).withColumnRenamed("value", "tokens")
+        return described(bloom(wanted), "binary", lambda own: own.tobytes()).select("item", F.col("value").alias("tokens"))
 
-    linked = connect(signed.df, stars, fetch, threshold, "paragraph", most_odd=most_odd)
+    linked = connect(signed.df, stars, fetch, threshold, "paragraph")
     signed.drop()
-    members = Written(
-        exact.select("item").union(linked.df.select(F.col("node").alias("item"))).distinct()
-        .join(linked.df.withColumnRenamed("node", "item"), "item", "left").select("item", F.coalesce("component", "item").alias("component")),
-        "paragraph-members")
-    found.drop()
+    members = linked.df.select(F.col("node").alias("item"), "component")
 
     def place(wanted):
         def find(batches):
             import pyarrow as pa
 
-            cut = Paragraphs(**setting)
+            cut, tag = Paragraphs(**setting), _tags()
             for batch in batches:
-                ids = batch.column(0)
-                for text, at, items, _, (data, bounds, starts, ends) in cut.chunks(batch.column(1)):
+                ids, tags = batch.column(0), tag(len(batch))
+                for text, at, stop, items, _, (*_, data, bounds, starts, ends, _) in cut.chunks(batch.column(1)):
                     live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
                     if not len(live):
                         continue
-                    # Bytes that begin a code point, counted from the beginning of each text.
-                    points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-                    home = np.searchsorted(bounds, starts[at[live]], side="right") - 1
-                    begin = points[bounds[home]]
+                    # Longer units as stretches of ``length`` words; the last ends where the unit does.
+                    parts = np.maximum(1, -(-(stop[live] - at[live]) // length))
+                    part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+                    live = np.repeat(live, parts)
+                    first = np.maximum(at[live], np.minimum(at[live] + part * length, stop[live] - length))
+                    last = np.minimum(first + length, stop[live]) - 1
+                    begin, end = _points(data, bounds, starts[first], ends[last])
                     yield pa.RecordBatch.from_arrays([
-                        ids.take(pa.array(text[live])), pa.array(items[live]),
-                        pa.array(points[starts[at[live]]] - begin), pa.array(points[ends[at[live] + cut.length - 1]] - begin),
-                    ], names=["id", "item", "start", "end"])
+                        ids.take(pa.array(text[live])), pa.array(tags[text[live]]), pa.array(items[live]), pa.array(begin), pa.array(end),
+                    ], names=["id", "tag", "item", "start", "end"])
         return find
 
-    placed = rows.mapInArrow(place(bloom(members.df.select("item"))), "id string, item long, start long, end long")
-    spots = Written(
-        placed.join(members.df, "item").select(F.col("id").cast(kind).alias("id"), "start", "end", "component"), "paragraph-spots")
+    placed = rows.mapInArrow(place(bloom(members.select("item"))), "id long, tag long, item long, start long, end long")
+    spots = Written(placed.join(members, "item").select("id", "tag", "start", "end", "component"), "paragraph-spots")
     across = spots.df.groupBy("component").agg(F.min("id").alias("component_id"), F.max("id").alias("last")).where("component_id < last")
-    return spots.df.join(across, "component").select(
-        F.col("id").alias(id_col), "start", "end", "component_id", (F.col("id") > F.col("component_id")).alias("removed"))
+    near = spots.df.join(across, "component").select("id", "tag", "start", "end", "component_id")
+    all_spots = near.union(same).dropDuplicates().select("id", "start", "end", "component_id", (F.col("id") > F.col("component_id")).alias("removed"))
+    if numbers is None:
+        named = all_spots.withColumns({c: F.col(c).cast(kind) for c in ("id", "component_id")})
+    else:
+        side = lambda c: numbers.df.select(F.col("number").alias(c), F.col("id").alias(f"{c}_named"))
+        named = all_spots.join(side("id"), "id").join(side("component_id"), "component_id")
+        named = named.select(F.col("id_named").alias("id"), "start", "end", F.col("component_id_named").alias("component_id"), "removed")
+    return named.withColumnRenamed("id", id_col)
+
+
+def _tags():
+    """Numbers for the rows of a task, so that rows of one id stay apart."""
+    from pyspark import TaskContext
+
+    context, done = TaskContext.get(), 0
+    base = (context.partitionId() if context else 0) << 40
+
+    def tag(n: int) -> np.ndarray:
+        nonlocal done
+        done += n
+        return base + np.arange(done - n, done, dtype=np.int64)
+
+    return tag
+
+
+def _points(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a chunk as code points counted from the beginning of each text."""
+    points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+    begin = points[bounds[np.searchsorted(bounds, starts, side="right") - 1]]
+    return points[starts] - begin, points[ends] - begin
+
+
+def _same(rows: DataFrame, wanted: np.ndarray, chars: int, setting: dict) -> DataFrame:
+    """(id, tag, start, end, component_id) of what repeats exactly.
+
+    ``wanted`` is a filter of the marks of two texts or more. Windows whose mark passes, and short own paragraphs,
+    meet by their words; those of two documents go back to their document, where few of them cover what all do."""
+    buckets = max(256, -(-int(chars / 6) // (BUCKET // 2)))
+    columns = ["<i8", "<i8", "<i8", "<u4", "<u4"]
+    cells = [f"c{k}" for k in range(6)]
+    schema = "bucket int, " + ", ".join(f"{c} binary" for c in cells)
+
+    def batch_of(packed):
+        import pyarrow as pa
+
+        rows = [(b, *c) for b, c in packed]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if not k else pa.binary()) for k, c in enumerate(zip(*rows))], names=["bucket", *cells])
+
+    def post(batches):
+        cut, packer, tag = Paragraphs(**setting), Packer(buckets, columns), _tags()
+        for batch in batches:
+            ids, tags = batch.column(0).to_numpy(zero_copy_only=False), tag(len(batch))
+            for firsts, words, data, bounds, starts, ends in cut.shingler.words(batch.column(1)):
+                text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+                at = cut.windows(words, text, wanted)
+                item = cut.whole.rolled(words)[at].view(np.int64) if len(at) else at
+                own, stop = cut.own(data, firsts, starts)
+                short = stop - own < cut.length
+                own, stop = own[short], stop[short]
+                more = cut.items(cut.shingler.rolled(words), own, stop)
+                at, item, stop = np.r_[at, own], np.r_[item, more], np.r_[at + cut.length, stop]
+                if len(at):
+                    begin, end = _points(data, bounds, starts[at], ends[stop - 1])
+                    packer.add(item.view(np.uint64), item, ids[text[at]], tags[text[at]], begin, end)
+                ids, tags = ids[len(firsts) - 1:], tags[len(firsts) - 1:]
+                if packer.full():
+                    yield batch_of(packer.pack())
+        if packer.count:
+            yield batch_of(packer.pack())
+
+    def by_bucket(finish):
+        def run(batches):
+            held, bucket = [], None
+            for batch in batches:
+                for b, *own in zip(*(c.to_pylist() for c in batch.columns)):
+                    if b != bucket and held:
+                        yield from finish(held)
+                        held = []
+                    bucket = b
+                    held.append(own)
+            if held:
+                yield from finish(held)
+        return run
+
+    def arrays(held):
+        return [np.concatenate([np.frombuffer(c[k + 1], t) for c in held]) for k, t in enumerate(columns)]
+
+    def meet(held):
+        item, doc, tag, start, end = arrays(held)
+        held.clear()
+        order = np.lexsort((doc, item))
+        i, d = item[order], doc[order]
+        starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+        sizes = np.diff(np.r_[starts, len(i)])
+        low, high = d[starts], d[starts + sizes - 1]
+        live = np.repeat(low < high, sizes)
+        order, low = order[live], np.repeat(low, sizes)[live]
+        if len(order):
+            packer = Packer(buckets, columns)
+            packer.add(doc[order].view(np.uint64), low, doc[order], tag[order], start[order], end[order])
+            yield batch_of(packer.pack())
+
+    def covered(held):
+        import pyarrow as pa
+
+        low, doc, tag, start, end = arrays(held)
+        held.clear()
+        order = np.lexsort((-end.astype(np.int64), start, low, tag, doc))
+        low, doc, tag, start, end = (x[order] for x in (low, doc, tag, start, end))
+        edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (low[1:] != low[:-1])])
+        at = [a + k for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(doc)]) for k in cover(start[a:b], end[a:b])]
+        kept = (x[at].astype(np.int64) for x in (doc, tag, start, end, low))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], names=["id", "tag", "start", "end", "component_id"])
+
+    met = rows.mapInArrow(post, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(by_bucket(meet), schema)
+    home = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(by_bucket(covered), "id long, tag long, start long, end long, component_id long")
+    return Written(home, "paragraph-same").df

@@ -319,7 +319,8 @@ def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str
                     break
                 j = i + d
                 live = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * threshold)
-                live &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= most_odd
+                odd = np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64))
+                live &= (odd <= most_odd) & (odd * (100.0 + threshold) <= (n[i] + n[j]) * (100 - threshold))
                 i, j = i[live], j[live]
                 out.append(np.stack([np.minimum(item[i], item[j]), np.maximum(item[i], item[j])], axis=1))
             if out and sum(map(len, out)):

@@ -289,3 +289,62 @@ def test_paragraphs(spark):
         held[r["component_id"]].add(r["doc_id"])
     assert all(min(v) == c and len(v) > 1 for c, v in held.items())
     assert paragraph_bands.repeats(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def prose(rng, n):
+    return ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(3, 9))) for _ in range(n)]
+
+
+def uncovered(out, rows, planted):
+    """Planted (document, words) whose words the document's spans do not cover from first to last."""
+    text, spans, missed = dict(rows), collections.defaultdict(list), []
+    for r in out:
+        spans[r["doc_id"]].append((r["start"], r["end"]))
+    for k, words in planted:
+        at = text[k].index(words)
+        held = {p for a, b in spans[k] for p in range(a, b)}
+        missed += [(k, words)] * any(p not in held and not text[k][p].isspace() for p in range(at, at + len(words)))
+    return missed
+
+
+def paragraph_rows(spark, rows):
+    return paragraph_bands.repeats(spark.createDataFrame([(*r, "x", 1, 1) for r in rows], DOCS)).collect()
+
+
+def test_short_passages_and_own_paragraphs_are_compared(spark):
+    rng, rows, want = random.Random(8), [], set()
+
+    def pair(a, b):
+        want.update((len(rows), len(rows) + 1))
+        rows.extend([(len(rows), a), (len(rows) + 1, b)])
+
+    inside = lambda p: " ".join(prose(rng, 40) + p + prose(rng, 40))
+    for n in (20, 21, 22, 25, 30) * 6:  # in unlike contexts
+        passage = prose(rng, n)
+        pair(inside(passage), inside(passage))
+    for n in (20, 25, 30) * 4:  # whole texts
+        passage = " ".join(prose(rng, n))
+        pair(passage, passage)
+    for n in (10, 13, 19) * 3:  # lines between unlike lines
+        line = " ".join(prose(rng, n))
+        pair(*("\n".join([" ".join(prose(rng, 30)), line, " ".join(prose(rng, 30))]) for _ in range(2)))
+    for n in (40, 50, 80) * 4:  # lines, and blocks of lines, with one word changed
+        line = prose(rng, n)
+        other = [*line[:n // 2], *prose(rng, 1), *line[n // 2 + 1:]]
+        pair(*("\n".join([" ".join(prose(rng, 30)), " ".join(own), " ".join(prose(rng, 30))]) for own in (line, other)))
+        pair(*("\n\n".join([" ".join(prose(rng, 30)), "\n".join(own), " ".join(prose(rng, 30))]) for own in (line, other)))
+    same = " ".join(["word"] * 30)
+    pair(inside([same]), inside([same]))
+    rows += [(k, inside([])) for k in range(len(rows), len(rows) + 20)]
+    assert sorted({r["doc_id"] for r in paragraph_rows(spark, rows)} ^ want) == []
+
+
+def test_edited_paragraphs_are_whole(spark):
+    rng, rows, planted = random.Random(10), [], []
+    for k in range(20):  # the changed words too
+        line = prose(rng, 90)
+        other = [*line[:30], *prose(rng, 1), *line[31:60], *prose(rng, 1), *line[61:]]
+        for own in (line, other):
+            planted.append((len(rows), " ".join(own)))
+            rows.append((len(rows), "\n".join([" ".join(prose(rng, 30)), " ".join(own), " ".join(prose(rng, 30))])))
+    assert uncovered(paragraph_rows(spark, rows), rows, planted) == []
