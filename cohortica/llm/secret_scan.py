@@ -18,12 +18,19 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 # A run that begins inside a longer run is part of it; so looking behind gives the maximal runs.
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
+# A line break, real or escaped (once or more), with quotes, commas or a plus and marks of quoting around it.
+BREAK = re.compile(r"""(?:["'][ \t]*+[+,.]?)?[ \t]*+(?:\r?\n|\r|(?:\\++r)?\\++n)[ \t]*+[#>|*]?[ \t]*+["']?""")
 PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----\s*((?:[A-Za-z][A-Za-z-]*: [^\n]*\n)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
+    r"""-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:\s|\\+[nr]|["'+,#>|*])*+)((?:[A-Za-z][A-Za-z-]*: (?:(?!\\+n)[^\n])*(?:\n|\\+n))*)"""
+    r"""((?:[A-Za-z0-9+/=\s"',.#>|*]|\\+[nr/])++)-----END \1-----""")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-B64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
+# Runs of base64 that go on over line breaks, and where a key can begin in them: a sequence or the magic text of OpenSSH.
+B64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}+(?:" + BREAK.pattern + r"[A-Za-z0-9+/]++)*+")
+BEGIN = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjE")
 HEXKEY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 OPENSSH = b"openssh-key-v1\0"
+# Letters that each text with "PRIVATE KEY" in it has in base64, by its place among three bytes.
+ARMOUR = [base64.b64encode(b"\0" * k + b"PRIVATE KEY").decode()[(8 * k + 5) // 6:8 * (k + 11) // 6] for k in range(3)]
 
 
 def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -73,26 +80,31 @@ def _algorithm(data: bytes, item: tuple[int, int, int]) -> bool:
     return bool(inner) and inner[0][0] == 0x06
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """The magic text, then cipher, kdf and kdf options with their lengths, a number of keys, and that many public keys."""
+def ssh_end(data: bytes) -> int | None:
+    """The magic text, then cipher, kdf and kdf options with their lengths, a number of keys, and that many public keys and a
+    private part: where that ends, None in another shape."""
     if not data.startswith(OPENSSH):
-        return False
+        return None
     at = len(OPENSSH)
     for _ in range(3):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at:at + 4], "big")
     if at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at:at + 4], "big")
     at += 4
     if not 1 <= keys <= 16:
-        return False
+        return None
     for _ in range(keys + 1):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at:at + 4], "big")
-    return at <= len(data)
+    return at if at <= len(data) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_end(data) is not None
 
 
 def is_key(data: bytes) -> bool:
@@ -111,6 +123,69 @@ def decode64(text: str, url: bool = False) -> bytes | None:
         return None
 
 
+def pem_spans(text: str) -> list[tuple[int, int]]:
+    """Armoured private keys, with real or escaped line breaks."""
+    found = []
+    for m in PEM.finditer(text):
+        data = decode64("".join(BREAK.sub("", m[4]).replace("\\/", "/").replace('"', "").replace("'", "").split()))
+        if data and (m[3] and len(data) >= 16 or is_key(data)):
+            found.append((m.start(), m.end()))
+    return found
+
+
+def key_spans(run: str) -> list[tuple[int, int]]:
+    """Private keys in a run of base64 without breaks, wherever they begin and end in it."""
+    found, done = [], 0
+    for m in BEGIN.finditer(run):
+        at = m.start()
+        if at < done:
+            continue
+        size = None
+        if run[at] == "M":
+            head = base64.b64decode(run[at:at + 12].ljust(12, "A"))
+            width = head[1] & 0x7F if head[1] & 0x80 else 0
+            # A version or a sequence comes first.
+            if width <= 4 and head[2 + width] in (0x02, 0x30):
+                size = 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+                letters = -(-size * 4 // 3)
+                if size < 30 or at + letters > len(run) or not is_der_key(base64.b64decode(run[at:at + letters] + "=" * (-letters % 4))):
+                    size = None
+        else:
+            letters = len(run) - at
+            size = ssh_end(base64.b64decode(run[at:at + letters - (letters % 4 == 1)] + "=" * (-(letters - (letters % 4 == 1)) % 4)))
+        if size:
+            done = at - (-size * 4 // 3)
+            found.append((at, done))
+    if any(a in run for a in ARMOUR):
+        for skip in range(4):  # glued letters before it shift what is decoded
+            whole = base64.b64decode(run[skip:] + "A" * (-len(run[skip:]) % 4)).decode("latin-1")
+            found += [(skip + a * 4 // 3, min(len(run), skip - (-b * 4 // 3))) for a, b in pem_spans(whole)]
+    return found
+
+
+def encoded_keys(text: str) -> list[tuple[int, int]]:
+    """Private keys in base64, alone or within longer runs, on one line or several; padding belongs to them."""
+    found = []
+    for m in B64.finditer(text):
+        if m.end() - m.start() < 40:
+            continue
+        start, pieces = m.start(), []
+        for gap in BREAK.finditer(m[0]):
+            pieces.append((start, m.start() + gap.start()))
+            start = m.start() + gap.end()
+        pieces.append((start, m.end()))
+        spans = key_spans("".join(text[a:b] for a, b in pieces))
+        if not spans:
+            continue
+        places = [k for a, b in pieces for k in range(a, b)]
+        for a, b in spans:
+            end = places[b - 1] + 1
+            if b == len(places):
+                end += len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+            found.append((places[a], end))
+    return found
+
+
 def is_signed_token(text: str) -> bool:
     """Header and payload decode to JSON objects, the header names an algorithm; signed unless that is none."""
     header, payload, signature = text.split(".")
@@ -129,17 +204,14 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            data = decode64("".join(m[3].split()))
-            if data and (m[2] and len(data) >= 16 or is_key(data)):
-                found.append((m.start(), 3, m.end()))
+    armoured = pem_spans(text) if "PRIVATE KEY-----" in text else []
+    found += [(a, 3, b) for a, b in armoured]
     if "eyJ" in text:
         found += [(m.start(), 4, m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
-    for m in B64.finditer(text):
-        # A private key begins with a sequence (M), an OpenSSH key with the first letters of its magic text.
-        if m[0][0] in "Mb" and (data := decode64(m[0])) and is_key(data):
-            found.append((m.start(), 5, m.end()))
+    for a, b in encoded_keys(text):
+        # What stands on several lines of an armoured key is that key.
+        if not (BREAK.search(text, a, b) and any(x <= a and b <= y for x, y in armoured)):
+            found.append((a, 5, b))
     for m in HEXKEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             found.append((m.start(), 6, m.end()))

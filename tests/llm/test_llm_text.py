@@ -175,6 +175,32 @@ def test_structures_are_confirmed():
     assert kinds("a" * 64 + " " + "Ab0" * 30) == ["hex"]
 
 
+def wrapped(data, width, gap):
+    text = base64.b64encode(data).decode()
+    return gap.join(text[k:k + width] for k in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("data", [RSA, PKCS8, SSH])
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", '" +\n  "'])
+def test_keys_in_other_forms_are_confirmed(data, gap):
+    for width in (64, 76):
+        body, plain = wrapped(data, width, gap), base64.b64encode(data).decode()
+        armour = f"-----BEGIN PRIVATE KEY-----{gap}{body}{gap}-----END PRIVATE KEY-----"
+        twice = base64.b64encode(armour.encode()).decode()
+        inner = wrapped(armour.encode(), width, gap)
+        later = base64.b64encode(b"x: y\n" + armour.encode() + b"\nz").decode()
+        forms = [(f'{{"private_key": "{armour}\\n"}}', "pem"), (f"see {body} here", "b64key"), (f"key:\n{body}\nand more", "b64key"),
+                 (f"data: {twice}", "b64key"), (f"data: {inner} end", "b64key"), (f"data: {later}", "b64key")]
+        forms += [(f"see {glue}{plain} here", "b64key") for glue in ("n", "Z", "7", "+", "/", "abc", "\\n")]
+        for text, kind in forms:
+            assert kind in [secret_scan.KINDS[k] for _, k, _ in secret_scan.find_spans(text)], text
+            masked = secret_scan.redact(text)
+            secrets = [plain[k:k + 16] for k in range(0, len(plain) - 16)] + [twice[40:-40][k:k + 16] for k in range(0, len(twice) - 96, 4)]
+            assert not any(part in masked for part in secrets), (text, masked)
+    broken = wrapped(data[:-3], 64, gap)
+    assert not secret_scan.find_spans(f"see {broken} here") or "b64key" not in [secret_scan.KINDS[k] for _, k, _ in secret_scan.find_spans(f"see {broken} here")]
+
+
 def base_spans(text):
     """The three fixed kinds as the definition has them."""
     out = []
