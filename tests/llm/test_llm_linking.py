@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cohortica.llm import adaptive_scan, cap_filters, paragraph_bands, postings, prefix_join
 from cohortica.llm.common import components
@@ -348,3 +349,30 @@ def test_edited_paragraphs_are_whole(spark):
             planted.append((len(rows), " ".join(own)))
             rows.append((len(rows), "\n".join([" ".join(prose(rng, 30)), " ".join(own), " ".join(prose(rng, 30))])))
     assert uncovered(paragraph_rows(spark, rows), rows, planted) == []
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_spans_cover_whole_passages(spark, named):
+    rng, rows, planted = random.Random(9), [], []
+    for n in (20, 33, 51, 60, 74, 100) * 6:
+        passage = " ".join(prose(rng, n))
+        for _ in range(3):
+            planted.append((len(rows), passage))
+            rows.append((len(rows), "é " + " ".join([*prose(rng, 30), passage, *prose(rng, 30)])))
+    longer = prose(rng, 90)  # the kept document holds less of it than the others share
+    for a, b in ((30, 60), (5, 85), (0, 90)):
+        planted.append((len(rows), " ".join(longer[max(a, 5):min(b, 85)])))
+        rows.append((len(rows), " ".join(prose(rng, 30) + longer[a:b] + prose(rng, 30))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if named:
+        df = df.withColumn("doc_id", F.format_string("d%05d", "doc_id"))
+    out = [r.asDict() for r in paragraph_bands.repeats(df).collect()]
+    if named:
+        out = [r | {c: int(r[c][1:]) for c in ("doc_id", "component_id")} for r in out]
+    assert uncovered(out, rows, planted) == []
+    text, held = dict(rows), collections.defaultdict(set)
+    for r in out:  # and nothing else: but for a word or two at its ends a span stands in the kept document too
+        words = text[r["doc_id"]][r["start"]:r["end"]].split()
+        assert " ".join(words[2:-2]) in text[r["component_id"]] and r["removed"] == (r["doc_id"] > r["component_id"])
+        held[r["component_id"]].add(r["doc_id"])
+    assert all(min(v) == c and len(v) > 1 for c, v in held.items())
