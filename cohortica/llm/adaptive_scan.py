@@ -93,7 +93,8 @@ def nearest(
 
     Rows without an id and vectors that are null, empty, zero or hold null or non-finite components take no part, nor
     do vectors whose length is not that of most rows (ties: the shorter). A query never meets rows of its own id;
-    other repeated rows are candidates of their own. An empty table gives no rows."""
+    other repeated rows are candidates of their own. Rows that repeat a query's id ask once, with the vector of the
+    smallest hash (ties: the smaller vector). An empty table gives no rows."""
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
@@ -121,7 +122,8 @@ def nearest(
                 yield part.iloc[at].assign(list=near.ravel(), place=np.tile(np.arange(near.shape[1]), len(part)))
 
     listed = Written(rows.mapInPandas(assign, "id long, v array<double>, list int"), "scan-rows")
-    queries = rows.where(F.col("id") % query_modulus == 0)
+    asked = rows.where(F.col("id") % query_modulus == 0).groupBy("id").agg(F.min(F.struct(F.xxhash64("v").alias("h"), "v")).alias("q"))
+    queries = asked.select("id", F.col("q.v").alias("v"))
     home = _probe(listed.df, _routed(queries, route, "place = 0", None), index, k, step, epsilon)
     first = Written(home, "scan-home")
     # The k-th best product of the first list bounds the scan of the others.
@@ -136,8 +138,6 @@ def nearest(
 
 def _routed(queries: DataFrame, route, which: str, bounds: DataFrame | None) -> DataFrame:
     routed = queries.mapInPandas(route, "id long, v array<double>, list int, place int").where(which)
-    # A repeated query row would answer twice.
-    routed = routed.dropDuplicates(["id", "list"])
     return routed.withColumn("low", F.lit(None).cast("double")) if bounds is None else routed.join(bounds, "id", "left")
 
 

@@ -376,3 +376,22 @@ def test_spans_cover_whole_passages(spark, named):
         assert " ".join(words[2:-2]) in text[r["component_id"]] and r["removed"] == (r["doc_id"] > r["component_id"])
         held[r["component_id"]].add(r["doc_id"])
     assert all(min(v) == c and len(v) > 1 for c, v in held.items())
+
+
+def test_repeated_query_ids_ask_with_one_vector(spark):
+    rng = np.random.RandomState(12)
+    base, other = rng.normal(size=(900, 8)), rng.normal(size=(45, 4, 8))
+    rows = [(k, base[k].tolist()) for k in range(900)] + [(20 * k, v.tolist()) for k in range(45) for v in other[k]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = [collections.defaultdict(list) for _ in range(2)]
+    for held, given in zip(out, (df, df.orderBy("embedding").repartition(5))):
+        for r in adaptive_scan.nearest(given, probe=1.0).orderBy("query_id", "rank").collect():
+            held[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert out[0] == out[1] and len(out[0]) == 45
+    hashes = {(r["vec_id"], tuple(r["embedding"])): r["h"] for r in df.select("*", F.xxhash64("embedding").alias("h")).collect()}
+    for query, got in out[0].items():  # every score is that of the chosen vector
+        _, chosen = min((h, v) for (i, v), h in hashes.items() if i == query)
+        vectors = collections.defaultdict(list)
+        for i, v in rows:
+            vectors[i].append(float(np.dot(chosen, v)))
+        assert len(got) == 20 and all(any(abs(score - s) < 1e-9 for s in vectors[i]) for i, score in got)
