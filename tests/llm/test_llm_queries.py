@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= {*entry.queries()} and {*queries.ORACLES} <= {*queries.QUERIES}
 
 
