@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.llm.cap_filters import usable
-from cohortica.llm.common import Written
+from cohortica.llm.common import Written, read
 
-# Rows and queries of a list that one task holds together; larger lists are cut into such blocks.
+# Rows of a list and queries that one task holds together, packed; larger lists are cut into such blocks.
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+QUERY_ROWS = 1024
 
 
 class Index:
@@ -41,9 +41,12 @@ class Index:
         return np.hstack([q, np.zeros((len(q), 1))]) @ self.rotation
 
     @staticmethod
-    def _near(points: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
-        d = (centres * centres).sum(axis=1)[None, :] - 2 * points @ centres.T
-        return np.argsort(d, axis=1, kind="stable")[:, :k]
+    def away(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        """Squared distances."""
+        return (points * points).sum(axis=1)[:, None] + (centres * centres).sum(axis=1)[None, :] - 2 * points @ centres.T
+
+    def _near(self, points: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
+        return np.argsort(self.away(points, centres), axis=1, kind="stable")[:, :k]
 
     def lists(self, points: np.ndarray, k: int) -> np.ndarray:
         return self._near(points, self.centres, min(k, len(self.centres)))
@@ -89,7 +92,9 @@ def nearest(
 
     Columns query_id, rank, vec_id, score (double, on the original vectors), ties to the smaller id. Centroids come
     from a sample of at most ``sample_rows`` rows (smallest hashes of the id); every row is in one list. A query scans
-    its nearest list first, then the rest of the nearest ``probe`` share of lists under the bound found there.
+    its nearest list first, then the rest of the nearest ``probe`` share of lists under the bound found there, but for
+    lists that lie beyond it as a whole. Lists and queries are packed in blocks and chunks of a fixed size; every block
+    meets every chunk once and tells there which of its queries probe it, so no route carries a vector.
 
     Rows without an id and vectors that are null, empty, zero or hold null or non-finite components take no part, nor
     do vectors whose length is not that of most rows (ties: the shorter). A query never meets rows of its own id;
@@ -114,56 +119,85 @@ def nearest(
                 yield pdf.assign(list=index.lists(index.lift(np.stack(pdf["v"].to_numpy())), 1)[:, 0])
 
     def route(batches):
+        """The nearest list of each query, and the distance up to which lists are probed."""
         for pdf in batches:
             for s in range(0, len(pdf), 1024):
                 part = pdf.iloc[s:s + 1024]
-                near = index.lists(index.lift_query(np.stack(part["v"].to_numpy())), probes)
-                at = np.repeat(np.arange(len(part)), near.shape[1])
-                yield part.iloc[at].assign(list=near.ravel(), place=np.tile(np.arange(near.shape[1]), len(part)))
+                away = index.away(index.lift_query(np.stack(part["v"].to_numpy())), index.centres)
+                yield part.assign(home=away.argmin(axis=1), cut=np.partition(away, probes - 1, axis=1)[:, probes - 1])
 
-    listed = Written(rows.mapInPandas(assign, "id long, v array<double>, list int"), "scan-rows")
+    listed = Written(rows.withColumn("n", F.monotonically_increasing_id()).mapInPandas(assign, "id long, v array<double>, n long, list int"), "scan-rows")
     asked = rows.where(F.col("id") % query_modulus == 0).groupBy("id").agg(F.min(F.struct(F.xxhash64("v").alias("h"), "v")).alias("q"))
-    queries = asked.select("id", F.col("q.v").alias("v"))
-    home = _probe(listed.df, _routed(queries, route, "place = 0", None), index, k, step, epsilon)
-    first = Written(home, "scan-home")
+    queries = Written(asked.select("id", F.col("q.v").alias("v")).mapInPandas(route, "id long, v array<double>, home int, cut double"), "scan-queries")
+    # A row per list: where its blocks begin, how many there are, and into how many chunks the queries at home there fall.
+    sizes = listed.df.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).orderBy("list").collect()
+    at_home = {r[0]: r[1] for r in queries.df.groupBy("home").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int")).collect()}
+    firsts = np.cumsum([0, *(r["blocks"] for r in sizes)])
+    shape = df.sparkSession.createDataFrame(
+        [(r["list"], int(f), r["blocks"], at_home.get(r["list"], 0)) for r, f in zip(sizes, firsts)], "list int, first int, blocks int, chunks int")
+    n_blocks, n_chunks = int(firsts[-1]), max(1, -(-queries.df.count() // QUERY_ROWS))
+
+    # Rows are dealt by their number, so copies spread over the blocks of their list.
+    dealt = listed.df.join(F.broadcast(shape), "list").withColumn("block", F.col("first") + F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int"))
+    blocks = Written(dealt.groupBy("list", "block").applyInPandas(_packed("list", "block"), "list int, block int, ids binary, vals binary, more binary"), "scan-blocks")
+    chunk_of = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    span = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+
+    own = queries.df.join(F.broadcast(shape.withColumnRenamed("list", "home")), "home").withColumn("chunk", chunk_of(F.col("chunks")))
+    own = own.withColumn("more", F.lit(None).cast("double")).groupBy("home", "chunk").applyInPandas(_packed("home", "chunk"), "home int, chunk int, ids binary, vals binary, more binary")
+    own = own.join(F.broadcast(shape.withColumnRenamed("list", "home")), "home").withColumn("block", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)))
+    at = blocks.df.join(F.broadcast(shape.where("chunks > 0").select("list", "chunks")), "list").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    first = Written(_probe(at, own.select("block", "chunk", "ids", "vals", "more"), index, dims, k, step, epsilon), "scan-home")
     # The k-th best product of the first list bounds the scan of the others.
-    bounds = first.df.groupBy("id").agg(F.count("*").alias("n"), F.min("score").alias("low")).where(F.col("n") >= k).select("id", "low")
-    others = _probe(listed.df, _routed(queries, route, "place > 0", bounds), index, k, step, epsilon)
     best = Window.partitionBy("id").orderBy(F.desc("score"), "vec_id")
+    bounds = first.df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).where(F.col("rank") == k).select("id", F.col("score").alias("low"))
+    rest = queries.df.join(bounds, "id", "left").withColumn("chunk", chunk_of(F.lit(n_chunks)))
+    rest = rest.withColumn("more", F.array("low", "cut", F.col("home").cast("double")))
+    rest = Written(rest.groupBy("chunk").applyInPandas(_packed("chunk"), "chunk int, ids binary, vals binary, more binary"), "scan-chunks").df
+    each = F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))
+    others = _probe(read(blocks).withColumn("chunk", each), rest.withColumn("block", span), index, dims, k, step, epsilon)
     return (
         first.df.union(others).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select(F.col("id").alias("query_id"), "rank", "vec_id", "score")
     )
 
 
-def _routed(queries: DataFrame, route, which: str, bounds: DataFrame | None) -> DataFrame:
-    routed = queries.mapInPandas(route, "id long, v array<double>, list int, place int").where(which)
-    return routed.withColumn("low", F.lit(None).cast("double")) if bounds is None else routed.join(bounds, "id", "left")
+def _packed(*keys: str):
+    """One row of a group: its keys, ids, vectors and, of queries, what bounds their scan."""
 
+    def pack(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("id", kind="stable")
+        more = np.stack(own["more"].to_numpy()).astype(np.float64).tobytes() if "more" in own and own["more"].notna().any() else None
+        return pd.DataFrame({
+            **{c: own[c].iloc[:1].to_numpy() for c in keys}, "ids": [own["id"].to_numpy(np.int64).tobytes()],
+            "vals": [np.stack(own["v"].to_numpy()).astype(np.float64).tobytes()], "more": [more]})
 
-def _probe(rows: DataFrame, routed: DataFrame, index: Index, k: int, step: int, epsilon: float) -> DataFrame:
-    """The ``k`` best rows of each list block for each query sent there: id, vec_id, score."""
-    blocks = rows.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    chunks = routed.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("chunks"))
-    shape = blocks.join(chunks, "list")
-    x = (
-        rows.join(shape, "list").withColumn("block", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("list", "block", "chunk", "id", "v")
-    )
-    q = (
-        routed.join(shape, "list").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("list", "block", "chunk", "id", "v", "low")
-    )
+    return pack
+
+
+def _probe(blocks: DataFrame, chunks: DataFrame, index: Index, dims: int, k: int, step: int, epsilon: float) -> DataFrame:
+    """The ``k`` best rows of each block for each query of a chunk that is to probe it: id, vec_id, score.
+
+    ``more`` of a chunk holds for each query the bound on products (or NaN), the distance up to which it probes lists and its
+    nearest list, which is done. A list whose nearest point lies beyond the bound is not scanned."""
+    empty = pd.DataFrame({"id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], float)})
 
     def search(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], float)})
         if not len(own) or not len(asked):
             return empty
-        vx, vq = np.stack(own["v"].to_numpy()), np.stack(asked["v"].to_numpy())
-        ix, iq = own["id"].to_numpy(), asked["id"].to_numpy()
-        low = asked["low"].to_numpy(dtype=float)
-        bound = np.where(np.isnan(low), np.inf, (vq * vq).sum(axis=1) + index.radius ** 2 - 2 * low)
-        out = []
+        ix, iq = (np.frombuffer(f["ids"].iloc[0], np.int64) for f in (own, asked))
+        vx, vq = (np.frombuffer(f["vals"].iloc[0]).reshape(-1, dims) for f in (own, asked))
+        bound = np.full(len(iq), np.inf)
+        if asked["more"].iloc[0] is not None:
+            low, cut, home = np.frombuffer(asked["more"].iloc[0]).reshape(-1, 3).T
+            here, centre = int(own["list"].iloc[0]), index.centres[own["list"].iloc[0]][None, :]
+            away = index.away(index.lift_query(vq), centre)[:, 0]
+            bound = np.where(np.isnan(low), np.inf, (vq * vq).sum(axis=1) + index.radius ** 2 - 2 * low)
+            reach = np.sqrt(max(0.0, index.away(index.lift(vx), centre).max()))
+            near = np.sqrt(np.maximum(away, 0)) - reach <= np.sqrt(np.maximum(bound, 0)) + 1e-9
+            go = np.flatnonzero((home != here) & (away <= cut) & near)
+            iq, vq, bound = iq[go], vq[go], bound[go]
+        out = [empty]
         for s in range(0, len(vq), 64):
             qi, xi = scan(index, vq[s:s + 64], vx, np.maximum(bound[s:s + 64], 0) + 1e-12, step, epsilon)
             qi = qi + s
@@ -175,7 +209,7 @@ def _probe(rows: DataFrame, routed: DataFrame, index: Index, k: int, step: int,
             first = np.searchsorted(qi, qi, side="left")
             keep = np.arange(len(qi)) - first < k
             out.append(pd.DataFrame({"id": iq[qi[keep]], "vec_id": ix[xi[keep]], "score": score[keep]}))
-        return pd.concat(out) if out else empty
+        return pd.concat(out)
 
-    keys = ["list", "block", "chunk"]
-    return x.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(search, "id long, vec_id long, score double")
+    keys = ["block", "chunk"]
+    return blocks.groupBy(*keys).cogroup(chunks.groupBy(*keys)).applyInPandas(search, "id long, vec_id long, score double")

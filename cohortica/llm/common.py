@@ -37,6 +37,26 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def read(written: Written) -> DataFrame:
+    """The table once more, as a frame of its own: for both sides of a join or cogroup."""
+    return written.spark.read.schema(written.df.schema).parquet(written.path)
+
+
+class Recent:
+    """Names met lately, in a table of fixed size: a name that is new may push out another, never the reverse."""
+
+    def __init__(self, places: int = 1 << 18):
+        self.held = ~np.arange(places)  # no name of a place looks like this
+
+    def new(self, name: int) -> bool:
+        """Whether a name is not in the table; it is then."""
+        at = name & (len(self.held) - 1)
+        if self.held[at] == name:
+            return False
+        self.held[at] = name
+        return True
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches a few hundred rows at a time: what is made of a slice stays small beside the batch."""
     for batch in batches:
