@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortica.llm.cap_filters import usable
-from cohortica.llm.common import Written, read
+from cohortica.llm.common import Written, read, scoped
 
 # Rows of a list and queries that one task holds together, packed; larger lists are cut into such blocks.
 BLOCK_ROWS = 4096
@@ -84,6 +84,7 @@ def scan(index: Index, q: np.ndarray, x: np.ndarray, bound: np.ndarray, step: in
     return qi, xi
 
 
+@scoped
 def nearest(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_modulus: int = 20, k: int = 20,
     probe: float = 0.85, max_lists: int = 4096, sample_rows: int = 16_384, step: int = 16, epsilon: float = 2.1,

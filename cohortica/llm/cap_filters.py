@@ -7,10 +7,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written, components, runs
+from cohortica.llm.common import Written, components, runs, scoped
 
 # Rows of a bucket that meet in one block; a task holds two blocks at a time.
 BLOCK_ROWS = 1024
+# Codewords of a block of a product code.
+MOST_WORDS = 2048
 
 
 def cap_share(dims: int, alpha: float) -> float:
@@ -24,14 +26,18 @@ class Filters:
     """Random product codes: each repetition rotates the space, cuts it into blocks and takes as filter directions
     all concatenations of one codeword per block.
 
-    ``words`` codewords a block give ``words ** blocks`` directions a repetition; ``alpha`` is chosen so that a
-    random vector exceeds ``hits`` of them on average."""
+    ``words`` codewords a block give ``words ** blocks`` directions a repetition: two blocks, or more once ``MOST_WORDS``
+    codewords do not keep ``bucket`` random vectors to a direction. ``alpha`` is chosen so that a random vector exceeds
+    ``hits`` of them on average; directions of more blocks depend on one another more, so each further block takes four
+    times the hits for the same recall."""
 
     def __init__(self, dims: int, n_vectors: int, repeats: int = 8, hits: float = 6.0, bucket: float = 16.0, seed: int = 7):
         rng = np.random.RandomState(seed)
-        self.dims, self.blocks = dims, min(2, dims)
         share = min(0.25, bucket / max(n_vectors, 1))
-        self.words = int(np.clip(np.ceil((hits / share) ** (1 / self.blocks)), 4, 2048))
+        self.dims, self.blocks = dims, min(2, dims)
+        while (hits / share) ** (1 / self.blocks) > MOST_WORDS and self.blocks < dims:
+            self.blocks, hits = self.blocks + 1, 4 * hits
+        self.words = int(np.clip(np.ceil((hits / share) ** (1 / self.blocks)), 4, MOST_WORDS))
         low, high = 0.0, 1.0
         for _ in range(40):
             alpha = (low + high) / 2
@@ -81,6 +87,7 @@ def usable(column):
     return F.coalesce((F.size(column) > 0) & ~bad & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
+@scoped
 def link_vectors(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
     threshold: float = 0.98, repeats: int = 8, hits: float = 6.0, bucket: float = 16.0,

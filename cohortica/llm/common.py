@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextvars
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +22,17 @@ def held_out(column, modulus: int, value: int):
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus == value, F.lit(False))
 
 
+# Tables that the running operator has written; None outside of one.
+_OWNED: contextvars.ContextVar = contextvars.ContextVar("owned", default=None)
+
+
 class Written:
     """A table written once to the shared folder; ``drop()`` deletes it when its operator has no more use for it."""
 
     def __init__(self, df: DataFrame, name: str):
         self.spark, self.path = df.sparkSession, fresh_path(df.sparkSession, name)
+        if _OWNED.get() is not None:
+            _OWNED.get().append(self)
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
@@ -31,6 +40,31 @@ class Written:
         delete(self.spark, self.path)
 
 
+def scoped(operator):
+    """``operator`` with its result written, and nothing else that it wrote left behind, also when it fails.
+
+    The result belongs to the operator that called it, if any, and goes with that one's tables."""
+
+    @functools.wraps(operator)
+    def run(*args, **options):
+        own: list = []
+        token = _OWNED.set(own)
+        result = None
+        try:
+            found = operator(*args, **options)
+            _OWNED.reset(token)
+            token = None
+            result = Written(found, operator.__name__)
+            return result.df
+        finally:
+            if token is not None:
+                _OWNED.reset(token)
+            for table in own:
+                table.drop()
+
+    return run
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written, slices
+from cohortica.llm.common import Written, scoped, slices
 
 BLANKS = " \t\n\x0b\f\r"
 DELETE, REROLE, INSERT, CUT = 4, 3, 3, 3
@@ -418,6 +418,7 @@ def damaged(df: DataFrame) -> DataFrame:
     return rows.union(rows.where("d = 3")).drop("d")
 
 
+@scoped
 def audit_report(df: DataFrame) -> DataFrame:
     """The repair of damaged conversations: a row for every conversation before the damage."""
     found = repair(damaged(df)).report()

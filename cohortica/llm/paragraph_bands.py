@@ -6,11 +6,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written
-from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, parity64, repeated, sizes_fit
+from cohortica.llm.common import Recent, Written, scoped
+from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, repeated, sizes_fit
 
 
-def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_share: float = 0.3) -> tuple[int, int]:
+def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_share: float = 0.1) -> tuple[int, int]:
     """(bands, rows): the fewest bands that let pairs at ``threshold`` meet with probability ``recall`` and pairs at
     ``noise`` with at most ``false_share``; if none do, the most selective of those that reach the recall."""
     found = []
@@ -135,6 +135,19 @@ class Paragraphs:
         return at[live[np.cumsum(new) - 1]] if len(at) else at
 
 
+def bags(shingles: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of units one after another, where each begins, and how many it has."""
+    sizes = end - at
+    unit = np.repeat(np.arange(len(at)), sizes)
+    values = shingles[np.arange(len(unit)) + np.repeat(at - (np.cumsum(sizes) - sizes), sizes)]
+    order = np.lexsort((values, unit))
+    unit, values = unit[order], values[order]
+    new = np.r_[True, (unit[1:] != unit[:-1]) | (values[1:] != values[:-1])] if len(unit) else np.zeros(0, bool)
+    unit, values = unit[new], values[new]
+    starts = np.searchsorted(unit, np.arange(len(at)))
+    return values, starts, np.diff(np.r_[starts, len(unit)])
+
+
 def cover(start: np.ndarray, end: np.ndarray) -> list[int]:
     """Of spans sorted by start, longer ones first, few that cover the same stretches."""
     own = np.flatnonzero(np.r_[True, end[1:] > np.maximum.accumulate(end)[:-1]])  # those in no earlier one
@@ -154,6 +167,7 @@ def few(text: np.ndarray, item: np.ndarray) -> np.ndarray:
     return order[np.r_[True, True, i[2:] != i[:-2]][:len(i)]]
 
 
+@scoped
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75, length: int = 20,
             reach: int = 6, width: int = 5, least: int = 10) -> DataFrame:
     """Passages that repeat across documents, exactly or with ``threshold`` hundredths of their shingles.
@@ -188,7 +202,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     def post(batches):
         import pyarrow as pa
 
-        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8"]), Packer(buckets, ["<i8"]), set()
+        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8"]), Packer(buckets, ["<i8"]), Recent()
         names, kinds = ["bucket", "keys", "items", "marks"], [pa.int32(), *[pa.binary()] * 3]
 
         def packed():
@@ -197,13 +211,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
 
         for batch in batches:
             for _, at, stop, items, shingles, (_, text, words, *_) in cut.chunks(batch.column(1)):
-                new = []
-                for k, item in enumerate(items.tolist()):
-                    if item not in seen:
-                        seen.add(item)
-                        new.append(k)
-                if len(seen) > 200_000:
-                    seen.clear()
+                new = [k for k, item in enumerate(items.tolist()) if seen.new(item)]
                 if new:
                     new = np.array(new, np.int64)
                     lists.add(cut.keys(shingles, at[new], stop[new]).ravel(), np.repeat(items[new], bands))
@@ -248,33 +256,30 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     lists = found.df.where("key <> -1")
     same = _same(rows, bloom(found.df.where("key = -1").select("item")), chars, setting)
 
-    def described(wanted, schema, describe):
-        """One row for each unit that the filter lets through, once a task."""
+    def described(wanted, binary: bool):
+        """(item, value, n) of each unit that the filter lets through, once a task: how many shingles it has, and their
+        parities or, with ``binary``, the shingles themselves."""
         def pick(batches):
             import pyarrow as pa
 
-            cut, seen = Paragraphs(**setting), set()
+            cut, seen = Paragraphs(**setting), Recent()
             for batch in batches:
                 for _, at, stop, items, shingles, _ in cut.chunks(batch.column(0)):
                     live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
-                    names, values, sizes = [], [], []
-                    for k in live.tolist():
-                        if items[k] not in seen:
-                            seen.add(items[k])
-                            own = np.unique(shingles[at[k]:stop[k] - width + 1])
-                            names.append(items[k])
-                            values.append(describe(own))
-                            sizes.append(len(own))
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    if names:
-                        kind = pa.binary() if schema == "binary" else pa.int64()
-                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, kind), pa.array(sizes, pa.int64())], names=["item", "value", "n"])
-
-        made = rows.select("text").mapInArrow(pick, f"item long, value {schema}, n long")
+                    live = live[[k for k, item in enumerate(items[live].tolist()) if seen.new(item)]]
+                    for s in range(0, len(live), 20_000):  # bounded scratch
+                        own = live[s:s + 20_000]
+                        values, starts, sizes = bags(shingles, at[own], stop[own] - width + 1)
+                        if binary:
+                            told = pa.array([values[a:a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist())], pa.binary())
+                        else:
+                            told = pa.array(np.bitwise_xor.reduceat(np.uint64(1) << (values >> np.uint64(58)), starts).view(np.int64))
+                        yield pa.RecordBatch.from_arrays([pa.array(items[own]), told, pa.array(sizes)], names=["item", "value", "n"])
+
+        made = rows.select("text").mapInArrow(pick, f"item long, value {'binary' if binary else 'long'}, n long")
         return made.groupBy("item").agg(F.first("value").alias("value"), F.first("n").alias("n"))
 
-    bits = described(bloom(lists.select("item").distinct()), "long", parity64).withColumnRenamed("value", "bits")
+    bits = described(bloom(lists.select("item").distinct()), False).withColumnRenamed("value", "bits")
     signed = Written(lists.join(bits, "item").select("key", "item", "n", "bits"), "paragraph-signed")
     found.drop()
     pivots = signed.df.groupBy("key").agg(F.min(F.struct("item", "bits", "n")).alias("p"))
@@ -286,7 +291,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     )
 
     def fetch(wanted):
-        return described(bloom(wanted), "binary", lambda own: own.tobytes()).select("item", F.col("value").alias("tokens"))
+        return described(bloom(wanted), True).select("item", F.col("value").alias("tokens"))
 
     linked = connect(signed.df, stars, fetch, threshold, "paragraph")
     signed.drop()

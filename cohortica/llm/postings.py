@@ -245,12 +245,6 @@ def sizes_fit(threshold: int, a: str, b: str):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * threshold)
 
 
-def parity64(values: np.ndarray) -> int:
-    """Parities of a set on 64 places, as a signed number."""
-    odd = np.bitwise_xor.reduce(np.uint64(1) << (values >> np.uint64(58)))
-    return int(odd.astype(np.int64)) if len(values) else 0
-
-
 def parity(values: np.ndarray) -> bytes:
     """A bitmap of about one bit per element: whether an odd number of elements falls on each place."""
     places = 1 << max(6, (len(values) - 1).bit_length())

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written, runs, slices
+from cohortica.llm.common import Recent, Written, scoped, slices
 from cohortica.llm.postings import BUCKET, Packer, Shingler, bloom, bucket_of, connect, identity, in_bloom, mix, named_by, parity, repeated, sieve, sizes_fit
 
 # Places of the frequency sketch that orders shingles: one byte each, sent to every task. Fixed, whatever the input.
@@ -55,24 +54,35 @@ def frequency_sketch(texts: DataFrame, buckets: int, width: int) -> np.ndarray:
             yield flush()
 
     def levels(batches):
-        for pdf, starts in runs(batches, ["bucket"]):
-            for a, b in zip(starts, [*starts[1:], len(pdf)]):
-                own = pdf.iloc[a:b]
-                keys = np.concatenate([np.frombuffer(x, "<u4") for x in own["keys"]])
-                counts = np.concatenate([np.frombuffer(x, "<u4") for x in own["counts"]]).astype(np.int64)
-                order = np.argsort(keys, kind="stable")
-                keys, counts = keys[order], counts[order]
-                starts_ = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-                total = np.add.reduceat(counts, starts_)
-                often = total >= 2
-                level = np.log2(total[often]).astype(np.int64)
-                names = keys[starts_][often]
-                bucket = int(own["bucket"].iloc[0])
-                for v in np.unique(level):
-                    yield pd.DataFrame({"bucket": [bucket], "level": [int(v)], "n": [int((level == v).sum())], "keys": [names[level == v].tobytes()]})
+        import pyarrow as pa
+
+        def found(bucket, cells):
+            keys, counts = (np.concatenate([np.frombuffer(c, "<u4") for c in column]) for column in zip(*cells))
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            total = np.add.reduceat(counts[order].astype(np.int64), starts)
+            often = total >= 2
+            names, level = keys[starts][often], np.log2(total[often]).astype(np.int64)
+            each = np.unique(level).tolist()
+            own = [names[level == v] for v in each]
+            return pa.RecordBatch.from_arrays([
+                pa.array([bucket] * len(each), pa.int32()), pa.array(each, pa.int32()), pa.array([len(x) for x in own], pa.int64()),
+                pa.array([x.tobytes() for x in own], pa.binary())], names=["bucket", "level", "n", "keys"])
+
+        now, held = None, []
+        for batch in batches:
+            for bucket, *cells in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != now and held:
+                    yield found(now, held)
+                    held = []
+                now = bucket
+                held.append(cells)
+        if held:
+            yield found(now, held)
 
     counted = texts.mapInArrow(count, "bucket int, keys binary, counts binary")
-    often = Written(counted.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(levels, "bucket int, level int, n long, keys binary"), "prefix-levels")
+    often = Written(counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(levels, "bucket int, level int, n long, keys binary"), "prefix-levels")
     sketch, room, lowest = np.zeros(SKETCH, np.uint8), SKETCH * 3 // 4, 99
     for level, n in often.df.groupBy("level").agg(F.sum("n")).orderBy(F.desc("level")).collect():  # at most 64 rows
         if n > room:
@@ -103,6 +113,7 @@ def prefix_length(n: int, threshold: int) -> int:
     return n - -(-threshold * n // 100) + 1
 
 
+@scoped
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75, width: int = 5) -> DataFrame:
     """Links between documents whose sets of ``width``-word shingles reach ``threshold`` hundredths of their union.
 
@@ -121,7 +132,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     def post(batches):
         import pyarrow as pa
 
-        shingler, packer, seen = Shingler(width), Packer(buckets, ["<i8", "<i4", "<i4"]), set()
+        shingler, packer, seen = Shingler(width), Packer(buckets, ["<i8", "<i4", "<i4"]), Recent()
         names = ["bucket", "id", "item", "group", "n", "bitmap", "keys", "groups", "sizes", "places"]
         kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
 
@@ -138,10 +149,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
                 first = ordered(own, sketch, buckets)[:prefix_length(n, threshold)]
                 group = identity(np.append(first, np.uint64(n)))
                 out.append(((item ^ k) % buckets, i, item, group, n, parity(own), *[None] * 4))
-                if group not in seen:  # copies within a task add nothing to the lists
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(group)
+                if seen.new(group):  # copies within a task add nothing to the lists
                     packer.add(first, group, n, np.arange(len(first)))
                 if packer.full():
                     yield batch_of([(b, None, None, None, None, None, *cells) for b, cells in packer.pack()])
@@ -228,19 +236,16 @@ def token_sets(rows: DataFrame, wanted: np.ndarray, width: int) -> DataFrame:
     def pick(batches):
         import pyarrow as pa
 
-        shingler, seen = Shingler(width), set()
+        shingler, seen = Shingler(width), Recent()
         for batch in slices(batches):
             own = [*shingler.sets(batch.column(1))]
             names = np.array([identity(x) if len(x) else 0 for x in own], np.int64)
             live = in_bloom(wanted, named_by(names, batch.column(0).to_pylist()))
             items, sets = [], []
             for k in np.flatnonzero(live):
-                if len(own[k]) and names[k] not in seen:
-                    seen.add(names[k])
+                if len(own[k]) and seen.new(int(names[k])):
                     items.append(names[k])
                     sets.append(own[k].tobytes())
-            if len(seen) > 500_000:
-                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(sets, pa.binary())], names=["item", "tokens"])
 
     return rows.mapInArrow(pick, "item long, tokens binary").dropDuplicates(["item"])

@@ -33,10 +33,34 @@ OPENSSH = b"openssh-key-v1\0"
 ARMOUR = [base64.b64encode(b"\0" * k + b"PRIVATE KEY").decode()[(8 * k + 5) // 6:8 * (k + 11) // 6] for k in range(3)]
 
 
-def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
-    """(tag, start, end) of the values that fill ``data[start:end]`` exactly, None if lengths do not nest."""
+class Decoded:
+    """The first ``size`` bytes that base64 letters from ``at`` on stand for, decoded where they are read."""
+
+    def __init__(self, run: str, at: int, size: int):
+        self.run, self.at, self.size = run, at, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, key):
+        start, stop, _ = key.indices(self.size) if isinstance(key, slice) else (key, key + 1, 1)
+        first = self.at + start // 3 * 4
+        letters = self.run[first:self.at - (-stop // 3) * 4]
+        found = base64.b64decode(letters + "A" * (-len(letters) % 4))[start % 3:start % 3 + max(0, stop - start)]
+        return found if isinstance(key, slice) else found[0]
+
+
+# Values on one level of a private key: nine integers and a few more at most.
+MOST_ITEMS = 64
+
+
+def der_items(data, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the values that fill ``data[start:end]`` exactly; None if lengths do not nest, or if there are
+    more values than any key has."""
     items, at = [], start
     while at < end:
+        if len(items) == MOST_ITEMS:
+            return None
         if at + 2 > end:
             return None
         tag, size = data[at], data[at + 1]
@@ -54,7 +78,7 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
     return items
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data) -> bool:
     """A sequence over all of ``data`` in the shape of a private key: RSA (nine integers or more after the version),
     EC (version 1, octets), PKCS 8 (version, algorithm sequence, octets) or its encrypted form (sequence, octets)."""
     outer = der_items(data, 0, len(data))
@@ -75,15 +99,15 @@ def is_der_key(data: bytes) -> bool:
     return len(tags) >= 2 and tags[1] == 0x04 and data[items[0][1]] == 1 and items[1][2] - items[1][1] >= 16
 
 
-def _algorithm(data: bytes, item: tuple[int, int, int]) -> bool:
+def _algorithm(data, item: tuple[int, int, int]) -> bool:
     inner = der_items(data, item[1], item[2])
     return bool(inner) and inner[0][0] == 0x06
 
 
-def ssh_end(data: bytes) -> int | None:
+def ssh_end(data) -> int | None:
     """The magic text, then cipher, kdf and kdf options with their lengths, a number of keys, and that many public keys and a
     private part: where that ends, None in another shape."""
-    if not data.startswith(OPENSSH):
+    if data[:len(OPENSSH)] != OPENSSH:
         return None
     at = len(OPENSSH)
     for _ in range(3):
@@ -134,7 +158,8 @@ def pem_spans(text: str) -> list[tuple[int, int]]:
 
 
 def key_spans(run: str) -> list[tuple[int, int]]:
-    """Private keys in a run of base64 without breaks, wherever they begin and end in it."""
+    """Private keys in a run of base64 without breaks, wherever they begin and end in it. Of each possible beginning only
+    the lengths are decoded, so the work grows with the run."""
     found, done = [], 0
     for m in BEGIN.finditer(run):
         at = m.start()
@@ -148,11 +173,10 @@ def key_spans(run: str) -> list[tuple[int, int]]:
             if width <= 4 and head[2 + width] in (0x02, 0x30):
                 size = 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
                 letters = -(-size * 4 // 3)
-                if size < 30 or at + letters > len(run) or not is_der_key(base64.b64decode(run[at:at + letters] + "=" * (-letters % 4))):
+                if size < 30 or at + letters > len(run) or not is_der_key(Decoded(run, at, size)):
                     size = None
         else:
-            letters = len(run) - at
-            size = ssh_end(base64.b64decode(run[at:at + letters - (letters % 4 == 1)] + "=" * (-(letters - (letters % 4 == 1)) % 4)))
+            size = ssh_end(Decoded(run, at, (len(run) - at) * 3 // 4))
         if size:
             done = at - (-size * 4 // 3)
             found.append((at, done))

@@ -187,10 +187,13 @@ def mix(
         "rate", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"), "text_hash")
 
 
-def thinned(docs: DataFrame, labels: DataFrame, weights: dict[str, float], protect: tuple, id_col: str = "doc_id",
-            text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that mixing gives no copy. Documents of protected domains all stay."""
-    mixed = mix(docs, labels, weights, id_col, text_col, protect=protect, **options)
-    gone = mixed.where("copies = 0").select(F.col(id_col).alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    same = docs[id_col].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs[text_col]) == gone["gone_hash"])
-    return docs.join(gone, same, "left_anti")
+def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], protect: tuple, id_col: str = "doc_id",
+          text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as mixing gives it copies, so the rows hold the token shares of ``weights``.
+    Documents of protected domains all stay. Rows that agree in id and text have one number of copies."""
+    found = mix(docs, labels, weights, id_col, text_col, protect=protect, **options)
+    copies = found.groupBy(F.col(id_col).alias("copy_id"), F.col("text_hash").alias("copy_hash")).agg(F.max("copies").alias("copies"))
+    same = docs[id_col].eqNullSafe(copies["copy_id"]) & (F.xxhash64(docs[text_col]) == copies["copy_hash"])
+    often = docs.join(copies, same)
+    once, more = often.where("copies = 1"), often.where("copies > 1").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return once.select(*[docs[c] for c in docs.columns]).union(more.select(*[docs[c] for c in docs.columns]))

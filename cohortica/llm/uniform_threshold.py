@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortica.llm.common import Written, read
+from cohortica.llm.common import Written, read, scoped
 
 # Rows of a block and queries of a chunk that one task holds together, packed; scores are held for a slice of queries.
 BLOCK_ROWS, CHUNK_ROWS, SLICE = 8192, 8192, 128
@@ -116,6 +116,7 @@ def sufficient(q, x, asked, ids, cutoff: np.ndarray, k: int, lists: int):
         yield names[a:min(b, a + k)].tolist(), score[a:min(b, a + k)].tolist()
 
 
+@scoped
 def top(
     df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_modulus: int = 20, k: int = 20,
     factor: float = 64.0, lists: int = 2,

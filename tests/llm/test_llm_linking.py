@@ -395,3 +395,25 @@ def test_repeated_query_ids_ask_with_one_vector(spark):
         for i, v in rows:
             vectors[i].append(float(np.dot(chosen, v)))
         assert len(got) == 20 and all(any(abs(score - s) < 1e-9 for s in vectors[i]) for i, score in got)
+
+
+def test_buckets_of_filters_stay_flat():
+    """Rows of a direction do not grow with the vectors, and pairs at the threshold still share one."""
+    rng = np.random.RandomState(2)
+    a, b = rng.normal(size=(2, 200, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + np.sqrt(1 - 0.98 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    for n in (10 ** 5, 10 ** 7, 10 ** 9):
+        filters = cap_filters.Filters(64, n)
+        (ra, ca), (rb, cb) = filters.decode(a), filters.decode(b)
+        met = {*zip(ra.tolist(), ca.tolist())}
+        assert len({r for r, c in zip(rb.tolist(), cb.tolist()) if (r, c) in met}) >= 196
+        assert n * len(ra) / 200 / 8 / filters.words ** filters.blocks < 32
+
+
+def test_recent_names():
+    from cohortica.llm.common import Recent
+
+    recent, names = Recent(16), [*range(-20, 20), 3, 19, 5, 5]
+    assert [recent.new(n) for n in names] == [True] * 40 + [True, True, False, False]

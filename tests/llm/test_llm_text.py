@@ -123,6 +123,21 @@ def test_mixing(spark):
     assert (abs(out["copies"] - out["rate"]) < 1).all()
 
 
+def test_mixed_rows_hold_the_shares(spark):
+    """Domains with less than their share are repeated, protected documents all stay."""
+    sf, weights = "/root/testdata/sf0.01", {"good": 0.5, "poor": 0.3, "toxic": 0.2}
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    own = soft_mixing.mix(docs, labels, weights, protect=("good",)).toPandas()
+    held = soft_mixing.mixed(docs, labels, weights, protect=("good",))
+    assert held.columns == docs.columns
+    times = held.groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
+    assert own["copies"].max() > 1 and {i: n for i, n in zip(own["doc_id"], own["copies"]) if n} == times.to_dict()
+    tokens = own["tokens"] * own["copies"]
+    for domain, share in weights.items():
+        assert abs((tokens * own[f"p_{domain}"]).sum() / tokens.sum() - share) < 0.02
+    assert (own["copies"][own[["p_good", "p_poor", "p_toxic"]].to_numpy().argmax(axis=1) == 0] >= 1).all()
+
+
 def test_mixing_runs_no_python(spark):
     sf = "/root/testdata/sf0.001"
     plan = soft_mixing.mix(*(spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels")), queries.WEIGHTS)
@@ -138,8 +153,9 @@ def test_mixing_of_odd_tables(spark):
         out = soft_mixing.mix(docs, labels, queries.WEIGHTS).collect()
         assert len(out) == len(ODD) + 2 and all(r["rate"] >= 0 for r in out)
     assert soft_mixing.mix(docs.limit(0), some, queries.WEIGHTS).count() == 0
-    left = soft_mixing.thinned(docs, some, queries.WEIGHTS, protect=("good",))
-    assert left.columns == docs.columns and left.count() <= len(ODD) + 2
+    left = soft_mixing.mixed(docs, some, queries.WEIGHTS, protect=("good",))
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} <= {None, *range(len(ODD))}
+    assert soft_mixing.mixed(docs.limit(0), some, queries.WEIGHTS, protect=("good",)).count() == 0
 
 
 def der(tag, *parts):
@@ -324,3 +340,25 @@ def test_piece_tables(spark):
     back = {r["doc_id"]: r["text"] for r in piece_codec.decode(encoded, MODEL).collect()}
     assert back[6] == ODD[6] and back[0] == "" and back[8] == ODD[8]
     assert piece_codec.digests(spark.createDataFrame([], DOCS), MODEL).count() == 0
+
+
+def test_repeated_beginnings_of_keys_cost_little():
+    """Each possible beginning is told by its lengths alone; sixteen times the letters take no more than some fifty times."""
+    import time
+
+    def seconds(text):
+        start = time.perf_counter()
+        assert secret_scan.encoded_keys(text) == []
+        return time.perf_counter() - start
+
+    for unit in ("b3BlbnNzaC1rZXktdjE", "MIIE", "MIICXQIBAAKB"):
+        short = min(seconds(unit * (40_000 // len(unit))) for _ in range(3))
+        assert seconds(unit * (640_000 // len(unit))) < 50 * max(short, 0.005)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(min_size=1, max_size=60), st.integers(0, 9), st.integers(0, 60), st.integers(0, 60))
+def test_bytes_are_decoded_where_they_are_read(data, lead, a, b):
+    run = "x" * lead + base64.b64encode(data).decode().rstrip("=")
+    lazy = secret_scan.Decoded(run, lead, len(data))
+    assert len(lazy) == len(data) and lazy[a:b] == data[a:b] and lazy[:] == data and [lazy[k] for k in range(len(data))] == [*data]
