@@ -53,7 +53,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @in_small_batches
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents to which the mixture gives a copy: poor and toxic ones thin out to their weights."""
-    return soft_mixing.thinned(docs, table(spark, sf_dir, "labels"), WEIGHTS, protect=("good",))
+    return soft_mixing.mixed(docs, table(spark, sf_dir, "labels"), WEIGHTS, protect=("good",))
 
 
 @in_small_batches
