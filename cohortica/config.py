@@ -1,5 +1,5 @@
-"""Settings of a run. The defaults describe the full training matrix;
-``small()`` gives the same shape with little work, for tests and smoke runs."""
+"""Settings of a run. The defaults describe the full training matrix; ``small()`` gives the same shape with little work,
+for tests and for the registered queries that search a grid or train the whole matrix."""
 
 from __future__ import annotations
 
@@ -65,11 +65,10 @@ class Settings:
     smote_leaf_rows: int = 2_000
     target: str = "Target"
     row_id: str = "row_id"
-    # Fits that may run side by side on the cluster.
-    parallel_fits: int = 4
-    # The layout that forests see has so many partitions at least, and at most so many rows in each: bagging draws
-    # depend on it, and on nothing of the session.
-    tree_partitions: int = 16
+    # The layout that forests see: partitions of ``tree_small_rows`` up to ``tree_partitions`` of them, then of ``tree_rows``.
+    # Bagging draws depend on it, and on nothing of the session.
+    tree_small_rows: int = 4_000
+    tree_partitions: int = 64
     tree_rows: int = 200_000
 
     def small(self) -> "Settings":

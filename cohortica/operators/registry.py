@@ -13,17 +13,25 @@ def cell(row_label: str, column: str) -> Column:
     return F.max(F.when(F.col("row_label") == row_label, F.col(column)))
 
 
-def summary(reports: DataFrame) -> DataFrame:
-    """One row per model: accuracy, weighted precision, recall and F1, ROC AUC.
-
-    Models whose report lacks one of the cells are left out, as unreadable."""
+def summary_cells(reports: DataFrame) -> DataFrame:
+    """One row per model: accuracy, weighted precision, recall and F1, ROC AUC; null where its report lacks the cell."""
     return reports.groupBy("model").agg(
         cell("accuracy", "f1_score").alias("accuracy"),
         cell("weighted avg", "precision").alias("precision"),
         cell("weighted avg", "recall").alias("recall"),
         cell("weighted avg", "f1_score").alias("f1"),
         cell("roc_auc", "roc_auc").alias("roc_auc"),
-    ).na.drop("any", subset=list(METRICS))
+    )
+
+
+def readable(cells: DataFrame) -> DataFrame:
+    """Models whose report has every cell."""
+    return cells.na.drop("any", subset=list(METRICS))
+
+
+def summary(reports: DataFrame) -> DataFrame:
+    """``summary_cells`` without the models whose report lacks one of the cells, as unreadable."""
+    return readable(summary_cells(reports))
 
 
 def run_summary(reports: DataFrame, trained: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Encoding, splitting, preprocessing, resampling, learners, evaluation, registry, scoring."""
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -15,12 +17,16 @@ from cohortica.plans.catalogue import query, rounded
 from cohortica.plans.catalogue.tables import (
     REPORT_COLUMNS, REPORT_ROWS, REPORT_SQL, SUMMARY_SQL, _report_columns, reports,
 )
+from cohortica.streaming.reports import follow_reports, summary_so_far
 from cohortica.streaming.scoring import score_available
 from cohortica.workspace import fresh_path, materialise
 
 FULL = Settings(features=FEATURES, binarised=BINARISED, target="outcome", row_id="case_id")
-# Searches fit every candidate on every fold; with the full grids that is 888 fits of up to 600 trees or 200 rounds.
+# The whole matrix with the full grids has forests of 600 trees and boosters of 200 rounds on every fold.
 SEARCH = FULL.small()
+# Every combination of the full grids but with fewer trees and rounds: 27 forests from 3 fits a fold, 36 boosters from 18 grown at once.
+GRID = replace(
+    SEARCH, forest_grid={**FULL.forest_grid, "n_estimators": (4, 8, 12)}, boost_grid={**FULL.boost_grid, "n_estimators": (1, 2)})
 METRIC_COLUMNS = "accuracy, precision, recall, f1, roc_auc"
 ROUNDED_METRICS = ", ".join(f"round({c}, 6) AS {c}" for c in METRIC_COLUMNS.split(", "))
 
@@ -262,12 +268,12 @@ def flagship(spark, sf):
 
 
 def _searched(spark, sf, name):
-    table_, _, _ = training.prepare(cases(spark, sf), SEARCH)
+    table_, _, _ = training.prepare(cases(spark, sf), GRID)
     config = next(c for c in training.training_matrix() if c.model == name)
-    return _checked_search(training.search(table_.where("not is_test").drop("is_test"), config, SEARCH)[1])
+    return _checked_search(training.search(table_.where("not is_test").drop("is_test"), config, GRID)[1])
 
 
-@query("i17_grid_search", _search_sql(4))
+@query("i17_grid_search", _search_sql(27))
 def i17(spark, sf):
     return _searched(spark, sf, "BASE_RF_GRID")
 
@@ -283,7 +289,7 @@ fa AS (SELECT model, fold, class, sum(hit) AS pos, (sum(CASE WHEN hit = 1 THEN C
 fold_auc AS (SELECT model, fold, sum(auc * pos) / sum(pos) AS roc_auc FROM fa GROUP BY ALL)"""
 
 
-@query("i19_boost_search", _search_sql(2))
+@query("i19_boost_search", _search_sql(36))
 def i19(spark, sf):
     return _searched(spark, sf, "BASE_XGB_GRID")
 
@@ -476,6 +482,19 @@ def i33(spark, sf):
     return rounded(registry.summary(reports(spark, sf)))
 
 
+@query("i33_summary_stream", SUMMARY_ROWS)
+def i33_stream(spark, sf):
+    """Reports arrive as files, a few a batch, and the query is stopped and started again between them."""
+    every = reports(spark, sf).withColumn("part", F.pmod(F.xxhash64("model", "row_label"), F.lit(6)).cast("int"))
+    every = materialise(every, "reports-parts")
+    arrived, out, checkpoint = (fresh_path(spark, n) for n in ("reports-in", "reports-out", "reports-offsets"))
+    for half in (F.col("part") < 3, F.col("part") >= 3):
+        every.where(half).repartition(3, "part").drop("part").write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(every.drop("part").schema).option("maxFilesPerTrigger", 2).parquet(arrived)
+        follow_reports(stream, out, checkpoint).awaitTermination()
+    return rounded(summary_so_far(spark, out))
+
+
 @query("c2_report_lookup", f"""WITH {REPORT_SQL} SELECT model, round(max(precision) FILTER (row_label = '1'), 6) AS precision_1,
   round(max(support) FILTER (row_label = 'macro avg'), 6) AS n FROM reports GROUP BY model""")
 def c2(spark, sf):

@@ -8,20 +8,37 @@ from cohortica.operators.quantiles import medians, quantiles
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
 
 
-@pytest.mark.parametrize("buckets", [None, 3, 200])
-def test_against_numpy_with_hot_values_and_groups(spark, buckets):
+@pytest.mark.parametrize("accuracy", [None, 3, 200])
+def test_against_numpy_with_hot_values_and_groups(spark, accuracy):
     rng = np.random.default_rng(0)
     rows = [("a", float(v)) for v in rng.normal(size=8000)]
     rows += [("b", 3.0)] * 5000 + [("b", float(v)) for v in rng.integers(0, 6, 3000)]
     rows += [("c", 1.5), ("c", 2.5), ("c", None), (None, 7.0)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(7)
-    got = {(r["g"], r["prob"]): r["value"] for r in quantiles(df, ["x"], PROBS, ["g"], buckets).collect()}
+    got = {(r["g"], r["prob"]): r["value"] for r in quantiles(df, ["x"], PROBS, ["g"], accuracy).collect()}
     for g in ("a", "b", "c", None):
         values = [v for k, v in rows if k == g and v is not None]
         for p in PROBS:
             assert got[(g, p)] == pytest.approx(np.percentile(values, p * 100), abs=1e-12)
 
 
+def test_a_bracket_is_a_small_share(spark, monkeypatch):
+    """Of many distinct values few are ranked; and a sketch that misses its rank is made good."""
+    from cohortica.operators import quantiles as module
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=60_000)
+    df = spark.createDataFrame([(float(v), float(k % 3)) for k, v in enumerate(x)], "x double, y double").repartition(4)
+    want = [np.percentile(x, 100 * p) for p in PROBS]
+    ranked, exact = [], module._ranked
+    monkeypatch.setattr(module, "_ranked", lambda *a: ranked.append(a[-1]) or exact(*a))
+    got = {r["prob"]: r["value"] for r in quantiles(df, ["x", "y"], PROBS).where("column = 'x'").collect()}
+    assert [got[p] for p in PROBS] == pytest.approx(want, abs=1e-12) and ranked == [1000]
+    monkeypatch.setattr(module.F, "percentile_approx", lambda v, ends, accuracy: F.transform(ends, lambda e: F.lit(9.0)))
+    got = {r["prob"]: r["value"] for r in quantiles(df.groupBy("x").count(), ["x"], PROBS).collect()}
+    assert [got[p] for p in PROBS] == pytest.approx(want, abs=1e-12) and ranked == [1000, 1000, None]
+
+
 def test_medians_skip_null_columns(spark):
     df = spark.createDataFrame([(1, None), (2, None), (4, None), (8, None), (None, None)], "a int, b double")
     assert medians(df, ["a", "b"]) == {"a": 3.0, "b": None}
@@ -49,7 +66,7 @@ def test_density(spark):
     grid = np.linspace(x.min(), x.max(), 200)
     h = x.std(ddof=1) * 500 ** -0.2
     want = np.exp(-0.5 * ((grid[:, None] - x[None]) / h) ** 2).sum(1) / (500 * h * np.sqrt(2 * np.pi))
-    assert [r["density"] for r in got] == pytest.approx(want.tolist())
+    assert [r["density"] for r in got] == pytest.approx(want.tolist(), abs=1e-11)
 
 
 def test_boxes_and_outliers(spark):

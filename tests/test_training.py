@@ -77,6 +77,49 @@ def test_search_with_resampling(spark, sf):
     assert scores.agg(F.min("roc_auc")).first()[0] > 0.6
 
 
+def test_search_over_rounds_and_depths(spark, sf):
+    """Candidates that differ in rounds come from one fit, and score as boosters fitted alone."""
+    from dataclasses import replace
+
+    from cohortica.operators import learners, metrics
+
+    grid = replace(SETTINGS, boost_grid={"n_estimators": (1, 3), "max_depth": (2, 3), "learning_rate": (0.1,), "subsample": (0.8, 1.0)}, folds=2)
+    table, _, _ = training.prepare(cases(spark, sf), grid)
+    train = table.where("not is_test").drop("is_test")
+    config = next(c for c in training.training_matrix() if c.model == "BASE_XGB_GRID")
+    params, scores = training.search(train, config, grid)
+    assert scores.count() == 8 * 2 and scores.agg(F.min("roc_auc")).first()[0] > 0.6
+    folded = training.split.stratified_folds(train, "label", "row_id", grid.folds, grid.seed)
+    part, held = folded.where("fold <> 0"), folded.where("fold = 0")
+    fitted = training._fit_pre(part, "base", grid)
+    learn = training._learning_rows(fitted, part, False, grid)
+    tries = training.candidates(grid.boost_grid)
+    alone = learners.scored(learners.fit_learner("xgb", learn, grid, False, tries[0]), fitted.transform(held))
+    found = scores.where("candidate = 0 and fold = 0").first()["roc_auc"]
+    assert metrics.weighted_auc(alone).first()["roc_auc"] == pytest.approx(found)
+
+
+def test_reports_arrive_in_any_order(spark):
+    """Whatever the order of the files and wherever the query is stopped, the summary is that of all rows."""
+    from cohortica.operators import registry
+    from cohortica.streaming.reports import best_so_far, follow_reports, summary_so_far
+
+    columns = "model string, row_label string, precision double, recall double, f1_score double, support double, roc_auc double"
+    rows = [(f"m{k}", label, 0.1 * k, 0.2, 0.05 * k, 9.0, 0.5 + 0.1 * k if label == "roc_auc" else None)
+            for k in range(4) for label in ("0", "accuracy", "weighted avg", "roc_auc") if (k, label) != (3, "accuracy")]
+    whole = spark.createDataFrame(rows, columns)
+    for order in (range(len(rows)), [7, 0, 14, 3, 11, 5, 1, 9, 2, 13, 4, 8, 6, 12, 10]):
+        arrived, out, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "offsets"))
+        order = list(order)
+        for part in (order[:4], order[4:5], order[5:]):
+            for k in part[::3]:
+                spark.createDataFrame([rows[i] for i in part[part.index(k):part.index(k) + 3]], columns).coalesce(1).write.mode("append").parquet(arrived)
+            stream = spark.readStream.schema(columns).option("maxFilesPerTrigger", 1).parquet(arrived)
+            follow_reports(stream, out, checkpoint).awaitTermination()
+        assert sorted(summary_so_far(spark, out).collect()) == sorted(registry.summary(whole).collect())
+        assert best_so_far(spark, out).collect() == registry.best_model(whole).collect() and best_so_far(spark, out).first()["model"] == "m3"
+
+
 def test_defaults_fill(spark):
     df = spark.createDataFrame([(1.0, "b"), (3.0, "a"), (None, None)], "x double, s string")
     defaults = scoring.form_defaults(df, ["x", "s"])
@@ -108,6 +151,30 @@ def test_training_again_replaces_a_model(spark, sf):
     assert {r["model"]: r["support"] for r in held} == totals
 
 
+def test_a_stopped_run_goes_on(spark, sf, monkeypatch):
+    """What has ended is kept when the run stops, and the next run trains the rest."""
+    folder, df = fresh_path(spark, "run"), cases(spark, sf)
+    names = ["BASE_LR", "BINN_LR", "BASE_LR_BALANCE", "BINN_RF", "BASE_RF"]
+    configs = [next(c for c in training.training_matrix() if c.model == n) for n in names]
+    fits, fit = [], training.fit_learner
+
+    def stop_at_the_fourth(*args, **options):
+        fits.append(1)
+        if len(fits) == 4:
+            raise RuntimeError("stopped")
+        return fit(*args, **options)
+
+    monkeypatch.setattr(training, "fit_learner", stop_at_the_fourth)
+    with pytest.raises(RuntimeError, match="stopped"):
+        training.run_matrix(df, SETTINGS, folder, configs)
+    assert {r["model"] for r in training.trained_models(spark, folder).collect()} == set(names[:3])
+    assert spark.catalog is not None and spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
+    reports, trained, _ = training.run_matrix(df, SETTINGS, folder, configs, run_all=False)
+    assert [t.config.model for t in trained] == names[3:] and {r["model"] for r in reports.collect()} == set(names[3:])
+    assert {r["model"] for r in training.load_performance(spark, folder)["results"].collect()} == set(names)
+    assert training.load_best(spark, folder)[0].stages
+
+
 def test_no_configurations_train_nothing(spark, sf):
     reports, trained, _ = training.run_matrix(cases(spark, sf), SETTINGS, None, [])
     assert reports is None and trained == []
