@@ -101,6 +101,26 @@ FROM embeddings e JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a =
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a = e.vec_id
 """
 
+ORACLES["op8_prefix_join"] = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
+  FROM split WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * met >= 75 * (x.n + y.n - met)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
 ORACLES["op12_uniform_threshold"] = """
 WITH rows AS (
   SELECT vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings

@@ -89,3 +89,45 @@ def test_stages_take_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() >= 2
+
+
+@pytest.mark.parametrize("name", ["op1_cap_filters", "op3_adaptive_scan", "op12_uniform_threshold", "op13_conversation_repair"])
+def test_nothing_but_the_result_stays(spark, name):
+    from cohortica.workspace import shared_folder
+
+    def held():
+        return {p.getPath().getName() for p in files.listStatus(path)}
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    before = held()
+    out = queries.QUERIES[name](spark, SF)
+    assert len(held() - before) == 1 and out.count() > 0
+
+
+def test_a_failed_operator_leaves_nothing(spark):
+    from cohortica.llm.common import scoped
+    from cohortica.workspace import shared_folder
+
+    @scoped
+    def inner():
+        return Written(spark.range(3).toDF("id"), "inner-table").df.where("id > 0")
+
+    @scoped
+    def outer(fails):
+        found = inner()
+        Written(found, "outer-table")
+        if fails:
+            raise ValueError("stopped")
+        return found
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    before = {p.getPath().getName() for p in files.listStatus(path)}
+    with pytest.raises(ValueError):
+        outer(True)
+    assert {p.getPath().getName() for p in files.listStatus(path)} == before
+    assert sorted(r["id"] for r in outer(False).collect()) == [1, 2]
+    assert [p.getPath().getName().split("-")[0] for p in files.listStatus(path) if p.getPath().getName() not in before] == ["outer"]
