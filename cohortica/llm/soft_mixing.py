@@ -194,6 +194,5 @@ def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], protect
     found = mix(docs, labels, weights, id_col, text_col, protect=protect, **options)
     copies = found.groupBy(F.col(id_col).alias("copy_id"), F.col("text_hash").alias("copy_hash")).agg(F.max("copies").alias("copies"))
     same = docs[id_col].eqNullSafe(copies["copy_id"]) & (F.xxhash64(docs[text_col]) == copies["copy_hash"])
-    often = docs.join(copies, same)
-    once, more = often.where("copies = 1"), often.where("copies > 1").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return once.select(*[docs[c] for c in docs.columns]).union(more.select(*[docs[c] for c in docs.columns]))
+    often = docs.join(copies.where("copies > 0"), same).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return often.select(*[docs[c] for c in docs.columns])
