@@ -39,6 +39,26 @@ def test_a_bracket_is_a_small_share(spark, monkeypatch):
     assert [got[p] for p in PROBS] == pytest.approx(want, abs=1e-12) and ranked == [1000, 1000, None]
 
 
+def test_the_narrowed_query_narrows(spark, tmp_path, monkeypatch):
+    """d2_narrowed_quantiles ranks a share of the values of groups of a few hundred rows, and finds their medians."""
+    import sys
+
+    import __spark_entry__ as entry
+
+    rng = np.random.default_rng(8)
+    rows = [(f, "O", *map(float, v)) for f, n in (("A", 900), ("N", 331), (None, 200)) for v in rng.normal(size=(n, 4))] + [("R", "F", 1.0, None, 2.0, None)]
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    df = spark.createDataFrame(rows, "l_returnflag string, l_linestatus string, " + ", ".join(f"{c} double" for c in cols))
+    df.write.parquet(f"{tmp_path}/lineitem.parquet")
+    module, ranked = sys.modules["cohortica.operators.quantiles"], []
+    exact = module._ranked
+    monkeypatch.setattr(module, "_ranked", lambda *a: ranked.append(a[-1]) or exact(*a))
+    got = {(r["l_returnflag"], r["column"]): r["value"] for r in entry.queries()["d2_narrowed_quantiles"](spark, str(tmp_path)).collect()}
+    want = {(f, c): np.median(v) for f in ("A", "N", "R", None) for i, c in enumerate(cols)
+            if (v := [r[i + 2] for r in rows if r[0] == f and r[i + 2] is not None])}
+    assert got == pytest.approx(want, abs=1e-4) and ranked == [40]
+
+
 def test_medians_skip_null_columns(spark):
     df = spark.createDataFrame([(1, None), (2, None), (4, None), (8, None), (None, None)], "a int, b double")
     assert medians(df, ["a", "b"]) == {"a": 3.0, "b": None}
