@@ -97,6 +97,37 @@ def test_ranking_threshold_is_the_quantile():
     assert abs(share - 0.25) < 0.01
 
 
+def test_ranking_learns_from_every_pair():
+    rng = np.random.RandomState(3)
+    good, bad = rng.normal(1, 1, (300, 6)), rng.normal(0, 2, (130, 6))
+    good[:, 4] = bad[:, 4] = 7.3  # a feature that tells nothing
+    ranker = pair_ranking.fit(good, bad, 0.25)
+    a, b = (np.clip((x - ranker.mean) / ranker.scale, -8, 8) for x in (good, bad))
+    p = 1 / (1 + np.exp((a @ ranker.weights)[:, None] - (b @ ranker.weights)))
+    slope = -(p.mean(axis=1) @ a) / len(a) + (p.mean(axis=0) @ b) / len(b) + 1e-3 * ranker.weights
+    assert np.abs(slope).max() < 1e-5 and np.abs(ranker.weights).max() > 0.1
+    value = np.r_[ranker.raw(good), ranker.raw(bad)]
+    order, weight = np.argsort(value), np.r_[np.full(300, 0.75 / 300), np.full(130, 0.25 / 130)]
+    assert ranker.threshold == value[order][np.searchsorted(np.cumsum(weight[order]), 0.25 - 1e-12)]
+
+
+def test_ranking_is_trained_on_all_labels(spark):
+    """Many more documents than a sample would hold; a few of them alone use a mark, and it is learned."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 6)))
+    rows, marks = [], []
+    for k in range(11_000):
+        good = k % 2
+        rows.append((k, " ".join(word() for _ in range(rng.randint(3, 9))) + ("." * rng.randint(0, 2) if good else "!" * rng.randint(0, 2)) + (" ~" if k in (20, 40) else ""), "x", "a", "b"))
+        marks.append((k, good, 0))
+    docs = spark.createDataFrame(rows, DOCS).repartition(7)
+    ranker = pair_ranking.train(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    x = np.stack([pair_ranking.features(r[1]) for r in rows])
+    whole = pair_ranking.fit(x[1::2], x[::2], (5500, 11_000))
+    assert np.allclose(ranker.mean, x.mean(axis=0)) and np.allclose(ranker.weights, whole.weights, atol=2e-6)
+    assert ranker.threshold == np.sort(ranker.raw(x))[5499] and ranker.weights[pair_ranking.NAMES.index("mark_126")] != 0
+
+
 def test_mixing(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
