@@ -1,8 +1,10 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from cohortica.config import BOOST_GRID, FOREST_GRID, SELECTED_FEATURES
-from cohortica.operators import scoring
+from cohortica.operators import preprocess, scoring
 from cohortica.plans import training
 from cohortica.plans.cases import FEATURES, cases
 from cohortica.plans.catalogue.learning import SEARCH as SETTINGS
@@ -41,6 +43,31 @@ def test_prepare_reports_missing_and_drops_unlabelled(spark, sf):
     assert training.feature_columns(table) == list(FEATURES)
 
 
+def test_a_run_reads_the_split_and_finds_medians_once(spark, monkeypatch):
+    """Later reads of a prepared table hash no ids; preprocessors and metadata share the medians of the training rows."""
+    import numpy as np
+
+    from cohortica.operators import quantiles
+
+    rng = np.random.default_rng(6)
+    rows = [(k, float(v) if k % 9 else None, float(w), "abc"[k % 3] if k % 7 else None, "xy"[int(v + rng.normal() > 0)]) for k, (v, w) in enumerate(rng.normal(size=(400, 2)))]
+    df = spark.createDataFrame(rows, "id long, v double, w double, t string, y string")
+    settings = replace(SETTINGS, features=("v", "w", "t"), binarised=("w",), target="y", row_id="id")
+    table, _, _ = training.prepare(df, settings)
+    assert "md5" not in table.where("not is_test")._jdf.queryExecution().optimizedPlan().toString()
+    asked, exact = [], quantiles._ranked
+    monkeypatch.setattr(quantiles, "_ranked", lambda *a: asked.append(a[1]) or exact(*a))
+    folder = fresh_path(spark, "run")
+    training.run_matrix(df, settings, folder, [c for c in training.training_matrix() if c.model in ("BASE_LR", "BINN_LR")])
+    assert asked == [["v", "w"]]
+    train = [r for r in table.where("not is_test").collect()]
+    middle = np.median([r["v"] for r in train if r["v"] is not None])
+    _, meta = training.load_best(spark, folder)
+    assert float(meta["defaults"]["v"]) == middle and meta["defaults"]["t"] == "a"
+    plain = preprocess.fit(table.where("not is_test"), ("v", "w", "t"))
+    assert plain.medians["v"] == middle
+
+
 def test_run_folder_and_scoring(spark, sf):
     folder = fresh_path(spark, "run")
     df = cases(spark, sf)
