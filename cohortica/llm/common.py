@@ -27,13 +27,14 @@ _OWNED: contextvars.ContextVar = contextvars.ContextVar("owned", default=None)
 
 
 class Written:
-    """A table written once to the shared folder; ``drop()`` deletes it when its operator has no more use for it."""
+    """A table written once to the shared folder, if asked in a folder for each value of the columns ``by``; ``drop()``
+    deletes it when its operator has no more use for it."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, by: tuple[str, ...] = ()):
         self.spark, self.path = df.sparkSession, fresh_path(df.sparkSession, name)
         if _OWNED.get() is not None:
             _OWNED.get().append(self)
-        df.write.parquet(self.path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -90,6 +91,15 @@ class Recent:
         self.held[at] = name
         return True
 
+    def fresh(self, names: np.ndarray) -> np.ndarray:
+        """Places of the names that are not in the table, each name once; they are then."""
+        _, first = np.unique(names, return_index=True)
+        first = np.sort(first)
+        at = names[first] & (len(self.held) - 1)
+        new = self.held[at] != names[first]
+        self.held[at[new]] = names[first[new]]
+        return first[new]
+
 
 def slices(batches, rows: int = 512):
     """Arrow batches a few hundred rows at a time: what is made of a slice stays small beside the batch."""

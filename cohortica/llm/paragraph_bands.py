@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortica.llm.common import Recent, Written, scoped
-from cohortica.llm.postings import BUCKET, M1, M2, Packer, Shingler, bloom, connect, in_bloom, mix, repeated, sizes_fit
+from cohortica.llm.postings import BUCKET, M1, M2, M3, SHORT_LIST, Packer, Shingler, bloom, connect, in_bloom, mix, repeated
+
+# Sizes of sets fall into classes, told in a byte: exact up to 20, then within a factor.
+SLACK = 1.05
+# Kinds of rows that lists leave: members of open lists, pairs of items to try, marks of two texts or more.
+LIST, PAIR, MARK = range(3)
+
+
+def size_edges() -> np.ndarray:
+    """The smallest size of each class; the last class holds all larger ones."""
+    edges = [1]
+    while len(edges) < 256:
+        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * SLACK))))
+    return np.array(edges, np.int64)
 
 
 def tune(threshold: float, recall: float = 0.995, noise: float = 0.2, false_share: float = 0.1) -> tuple[int, int]:
@@ -58,7 +71,7 @@ class Paragraphs:
 
     def own(self, data: np.ndarray, firsts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First word and end of the texts' own paragraphs: lines, and blocks of several lines between blank ones."""
-        breaks = np.cumsum(data == 10)[starts] if len(starts) else np.zeros(0, np.int64)
+        breaks = np.searchsorted(np.flatnonzero(data == 10), starts, side="right")
         apart = np.r_[0, np.diff(breaks)] if len(starts) else breaks
         found = []
         for least in (1, 2):
@@ -96,11 +109,18 @@ class Paragraphs:
     def keys(self, shingles: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """A key per unit and band: the smallest of each row's hashes over the shingles of the unit."""
         out, edges = [], np.stack([at, stop - self.width + 1], axis=1).ravel()
+        low = np.full(len(shingles) + 1, ~np.uint64(0))
+        hashed, moved = low[:-1], np.empty(len(shingles), np.uint64)
         with np.errstate(over="ignore"):
             for b in range(self.bands):
                 key = np.full(len(at), b + 1, np.uint64)
                 for seed in self.seeds[b * self.rows:(b + 1) * self.rows]:
-                    low = np.append(mix(shingles * seed), ~np.uint64(0))
+                    np.multiply(shingles, seed, out=hashed)  # as mix() does, in place
+                    for shift, factor in ((30, M2), (27, M3), (31, None)):
+                        np.right_shift(hashed, np.uint64(shift), out=moved)
+                        np.bitwise_xor(hashed, moved, out=hashed)
+                        if factor is not None:
+                            np.multiply(hashed, factor, out=hashed)
                     key = mix(key * M1 + np.minimum.reduceat(low, edges)[::2])
                 out.append(key)
         return np.stack(out, axis=1)
@@ -148,6 +168,73 @@ def bags(shingles: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return values, starts, np.diff(np.r_[starts, len(unit)])
 
 
+def sketches(shingles: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct shingles each unit has, and their parities on 16 places.
+
+    Parities of units without a shingle twice are differences of running ones; the few others are sorted."""
+    order = np.argsort(shingles)
+    value = shingles[order]
+    same = np.flatnonzero(value[1:] == value[:-1])
+    twin = np.unique(np.r_[same, same + 1])
+    twin = twin[np.lexsort((order[twin], value[twin]))]
+    before = np.full(len(shingles) + 1, -1, np.int64)  # the place before where a shingle stands too
+    again = value[twin][1:] == value[twin][:-1]
+    before[order[twin][1:][again]] = order[twin][:-1][again]
+    odd = np.zeros(len(shingles) + 1, np.uint64)
+    np.bitwise_xor.accumulate(np.uint64(1) << (shingles >> np.uint64(60)), out=odd[1:])
+    n, odd = end - at, odd[end] ^ odd[at]
+    twice = np.flatnonzero(np.maximum.reduceat(before, np.stack([at, end], axis=1).ravel())[::2] >= at)
+    for s in range(0, len(twice), 20_000):  # bounded scratch
+        own = twice[s:s + 20_000]
+        values, starts, n[own] = bags(shingles, at[own], end[own])
+        odd[own] = np.bitwise_xor.reduceat(np.uint64(1) << (values >> np.uint64(60)), starts)
+    return n, odd
+
+
+def like(n, odd, m, other, threshold: int) -> np.ndarray:
+    """Whether sets of at most ``n`` and ``m`` elements (at least that by ``SLACK``) can be similar: their sizes fit, and
+    as each place where parities differ holds an element of one set only, few do."""
+    fit = np.minimum(n, m) * (100 * SLACK) >= np.maximum(n, m) * float(threshold)
+    return fit & (np.bitwise_count(odd ^ other) * (100.0 + threshold) <= (n + m) * float(100 - threshold))
+
+
+def list_pairs(key: np.ndarray, n: np.ndarray, odd: np.ndarray, threshold: int):
+    """Places of pairs within short lists (rows of one key stand together) that can be similar, in arrays (i, j), i < j."""
+    for d in range(1, SHORT_LIST):
+        i = np.flatnonzero(key[d:] == key[:-d])
+        if not len(i):
+            break
+        i = i[like(n[i], odd[i], n[i + d], odd[i + d], threshold)]
+        yield i, i + d
+
+
+def tried(key: np.ndarray, item: np.ndarray, n: np.ndarray, odd: np.ndarray, threshold: int):
+    """What lists (rows of one key stand together) leave to test: pairs (item, star) of a list's members with its first
+    one, and the rows of lists in which other pairs can be similar too.
+
+    Members of short lists that can be similar to no other leave first."""
+    def sizes(key):
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        each = np.diff(np.r_[edge, len(key)])
+        return np.repeat(edge, each), np.repeat(each, each)
+
+    live = sizes(key)[1] > SHORT_LIST
+    short = np.flatnonzero(~live)
+    for pair in list_pairs(key[short], n[short], odd[short], threshold):
+        for side in pair:
+            live[short[side]] = True
+    live = np.flatnonzero(live)
+    key, n, odd = key[live], n[live], odd[live]
+    first, size = sizes(key)
+    more = size > SHORT_LIST
+    short = np.flatnonzero(~more)
+    for i, _ in list_pairs(key[short], n[short], odd[short], threshold):
+        beyond = short[i][first[short[i]] != short[i]]
+        more[first[beyond]] = True
+    star = np.flatnonzero(like(n, odd, n[first], odd[first], threshold) & (first != np.arange(len(first))))
+    return item[live[star]], item[live[first[star]]], live[more[first]]
+
+
 def cover(start: np.ndarray, end: np.ndarray) -> list[int]:
     """Of spans sorted by start, longer ones first, few that cover the same stretches."""
     own = np.flatnonzero(np.r_[True, end[1:] > np.maximum.accumulate(end)[:-1]])  # those in no earlier one
@@ -202,19 +289,24 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     def post(batches):
         import pyarrow as pa
 
-        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8"]), Packer(buckets, ["<i8"]), Recent()
-        names, kinds = ["bucket", "keys", "items", "marks"], [pa.int32(), *[pa.binary()] * 3]
+        cut, lists, exact, seen = Paragraphs(**setting), Packer(buckets, ["<i8", "u1", "<u2"]), Packer(buckets, ["<i8"]), Recent()
+        names, kinds, edges = ["bucket", "keys", "items", "odds", "marks"], [pa.int32(), *[pa.binary()] * 4], size_edges()
 
         def packed():
-            rows = [(b, *cells, None) for b, cells in lists.pack()] + [(b, None, None, cells[1]) for b, cells in exact.pack()]
+            # The last byte of a key's name gives way to the class of the size.
+            rows = [(b, (np.frombuffer(key, "<u4") & 0xFFFFFF00 | np.frombuffer(size, "u1")).astype("<u4").tobytes(), item, odd, None)
+                    for b, (key, item, size, odd) in lists.pack()]
+            rows += [(b, None, None, None, cells[1]) for b, cells in exact.pack()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
             for _, at, stop, items, shingles, (_, text, words, *_) in cut.chunks(batch.column(1)):
-                new = [k for k, item in enumerate(items.tolist()) if seen.new(item)]
-                if new:
-                    new = np.array(new, np.int64)
-                    lists.add(cut.keys(shingles, at[new], stop[new]).ravel(), np.repeat(items[new], bands))
+                new = seen.fresh(items)
+                if len(new):
+                    own, end = at[new], stop[new] - width + 1
+                    n, odd = sketches(shingles, own, end)
+                    size = np.searchsorted(edges, n, side="right") - 1
+                    lists.add(cut.keys(shingles, own, stop[new]).ravel(), *(np.repeat(c, bands) for c in (items[new], size, odd)))
                 first, mark = cut.marks(words, text)
                 if len(mark):
                     mark = mark[few(text[first], mark)]
@@ -227,19 +319,21 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     def gather(batches):
         import pyarrow as pa
 
-        held, bucket = {False: [], True: []}, None
+        held, bucket, most = {False: [], True: []}, None, np.r_[size_edges()[1:] - 1, 1 << 40]
 
         def out():
-            made = [np.zeros(0, np.int64)] * 2
+            made = []
             if held[False]:
-                key, item = (np.concatenate([np.frombuffer(c[k], t) for c in held[False]]) for k, t in enumerate(("<u4", "<i8")))
-                at = repeated(key, item)
-                made = [bucket << 32 | key[at].astype(np.int64), item[at]]
+                key, item, odd = (np.concatenate([np.frombuffer(c[k], t) for c in held[False]]) for k, t in enumerate(("<u4", "<i8", "<u2")))
+                at = repeated(key >> 8, item)
+                key, item, n, odd = key[at] >> 8, item[at], most[key[at] & 255], odd[at]
+                a, b, left = tried(key, item, n, odd, threshold)
+                made += [(0, a, 0, 0, b, PAIR), (bucket << 32 | key[left].astype(np.int64), item[left], n[left], odd[left], 0, LIST)]
             if held[True]:
-                mark = np.sort(np.concatenate([np.frombuffer(c[2], "<i8") for c in held[True]]))
-                twice = np.unique(mark[1:][mark[1:] == mark[:-1]])
-                made = [np.r_[made[0], np.full(len(twice), -1)], np.r_[made[1], twice]]
-            return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64())], names=["key", "item"])
+                mark = np.sort(np.concatenate([np.frombuffer(c[3], "<i8") for c in held[True]]))
+                made.append((0, np.unique(mark[1:][mark[1:] == mark[:-1]]), 0, 0, 0, MARK))
+            made = [np.concatenate([np.broadcast_to(np.asarray(m[k], np.int64), len(m[1])) for m in made]) for k in range(6)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=["key", "item", "n", "bits", "star", "kind"])
 
         for batch in batches:
             for b, *cells in zip(*(c.to_pylist() for c in batch.columns)):
@@ -247,54 +341,38 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
                     yield out()
                     held = {False: [], True: []}
                 bucket = b
-                held[cells[2] is not None].append(cells)
+                held[cells[3] is not None].append(cells)
         if bucket is not None:
             yield out()
 
-    posted = rows.mapInArrow(post, "bucket int, keys binary, items binary, marks binary")
-    found = Written(posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "key long, item long"), "paragraph-lists")
-    lists = found.df.where("key <> -1")
-    same = _same(rows, bloom(found.df.where("key = -1").select("item")), chars, setting)
+    posted = rows.mapInArrow(post, "bucket int, keys binary, items binary, odds binary, marks binary")
+    met = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, "key long, item long, n long, bits long, star long, kind long")
+    found = Written(met, "paragraph-lists", by=("kind",))
+    lists, pairs, marks = (found.df.where(F.col("kind") == kind) for kind in (LIST, PAIR, MARK))
+    same = _same(rows, bloom(marks.select("item")), chars, setting)
+    wanted = bloom(pairs.select(F.explode(F.array("item", "star")).alias("item")).union(lists.select("item")))
 
-    def described(wanted, binary: bool):
-        """(item, value, n) of each unit that the filter lets through, once a task: how many shingles it has, and their
-        parities or, with ``binary``, the shingles themselves."""
-        def pick(batches):
-            import pyarrow as pa
+    def tokens(batches):
+        """(item, tokens) of each unit that the filter lets through, once a task."""
+        import pyarrow as pa
 
-            cut, seen = Paragraphs(**setting), Recent()
-            for batch in batches:
-                for _, at, stop, items, shingles, _ in cut.chunks(batch.column(0)):
-                    live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
-                    live = live[[k for k, item in enumerate(items[live].tolist()) if seen.new(item)]]
-                    for s in range(0, len(live), 20_000):  # bounded scratch
-                        own = live[s:s + 20_000]
-                        values, starts, sizes = bags(shingles, at[own], stop[own] - width + 1)
-                        if binary:
-                            told = pa.array([values[a:a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist())], pa.binary())
-                        else:
-                            told = pa.array(np.bitwise_xor.reduceat(np.uint64(1) << (values >> np.uint64(58)), starts).view(np.int64))
-                        yield pa.RecordBatch.from_arrays([pa.array(items[own]), told, pa.array(sizes)], names=["item", "value", "n"])
-
-        made = rows.select("text").mapInArrow(pick, f"item long, value {'binary' if binary else 'long'}, n long")
-        return made.groupBy("item").agg(F.first("value").alias("value"), F.first("n").alias("n"))
-
-    bits = described(bloom(lists.select("item").distinct()), False).withColumnRenamed("value", "bits")
-    signed = Written(lists.join(bits, "item").select("key", "item", "n", "bits"), "paragraph-signed")
+        cut, seen = Paragraphs(**setting), Recent()
+        for batch in batches:
+            for _, at, stop, items, shingles, _ in cut.chunks(batch.column(0)):
+                live = np.flatnonzero(in_bloom(wanted, items)) if len(at) else at
+                live = live[seen.fresh(items[live])]
+                for s in range(0, len(live), 20_000):  # bounded scratch
+                    own = live[s:s + 20_000]
+                    values, starts, sizes = bags(shingles, at[own], stop[own] - width + 1)
+                    told = [values[a:a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist())]
+                    yield pa.RecordBatch.from_arrays([pa.array(items[own]), pa.array(told, pa.binary())], names=["item", "tokens"])
+
+    made = rows.select("text").mapInArrow(tokens, "item long, tokens binary")
+    sets = Written(made.groupBy("item").agg(F.first("tokens").alias("tokens")), "paragraph-sets")
+    stars = pairs.select(F.col("item").alias("a"), F.col("star").alias("b")).distinct()
+    linked = connect(lists.drop("star", "kind"), stars, sets, threshold, "paragraph", slack=SLACK)
     found.drop()
-    pivots = signed.df.groupBy("key").agg(F.min(F.struct("item", "bits", "n")).alias("p"))
-    stars = (
-        signed.df.join(pivots, "key").where(F.col("item") != F.col("p.item")).where(sizes_fit(threshold, F.col("n"), F.col("p.n")))
-        # Similar sets differ in at most this share of their elements.
-        .where(F.bit_count(F.col("bits").bitwiseXOR(F.col("p.bits"))) * (100 + threshold) <= (F.col("n") + F.col("p.n")) * (100 - threshold))
-        .select(F.col("item").alias("a"), F.col("p.item").alias("b")).distinct()
-    )
-
-    def fetch(wanted):
-        return described(bloom(wanted), True).select("item", F.col("value").alias("tokens"))
-
-    linked = connect(signed.df, stars, fetch, threshold, "paragraph")
-    signed.drop()
+    sets.drop()
     members = linked.df.select(F.col("node").alias("item"), "component")
 
     def place(wanted):
@@ -351,9 +429,10 @@ def _tags():
 
 def _points(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a chunk as code points counted from the beginning of each text."""
-    points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-    begin = points[bounds[np.searchsorted(bounds, starts, side="right") - 1]]
-    return points[starts] - begin, points[ends] - begin
+    more = np.flatnonzero((data & 0xC0) == 0x80)  # bytes that go on with a code point
+    begin = bounds[np.searchsorted(bounds, starts, side="right") - 1]
+    begin, starts, ends = (x - np.searchsorted(more, x) for x in (begin, starts, ends))
+    return starts - begin, ends - begin
 
 
 def _same(rows: DataFrame, wanted: np.ndarray, chars: int, setting: dict) -> DataFrame:

@@ -151,7 +151,7 @@ class Packer:
         keys, *columns = (np.concatenate(c) for c in zip(*self.held))
         self.held, self.count = [], 0
         bucket, name = bucket_of(keys, self.buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if self.buckets <= 1 << 16 else bucket, kind="stable")  # short numbers sort faster
         bucket, columns = bucket[order], [name[order], *[c[order].astype(k) for c, k in zip(columns, self.kinds)]]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         for a, b in zip(starts, [*starts[1:], len(bucket)]):
@@ -278,21 +278,25 @@ def sieve(pairs: DataFrame, bitmaps: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(live, "a long, b long")
 
 
-def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str, sieved=None, most_odd: int = 64) -> Written:
+def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str, sieved=None, most_odd: int = 64, slack: float = 1.0) -> Written:
     """Components of all items linked by similarity, among those that share a list.
 
     ``lists`` (key, item, n, and if known bits): every two linked items share a key. ``stars`` (a, b): pairs to try first,
-    linear in the lists. ``fetch`` gives the sets (item, tokens) of at least the items of a frame; ``sieved`` drops pairs
-    that cannot be similar, and so do bits (parities of the set on 64 places) that differ on more than ``most_odd``.
+    linear in the lists. ``fetch`` gives the sets (item, tokens) of at least the items of a frame, or is a written table of
+    all; ``sieved`` drops pairs that cannot be similar, and so do bits (parities of the set on at most 64 places) that differ
+    on more than ``most_odd``. An ``n`` may be too large by the factor ``slack``.
     Items already connected need no further test; so after the stars only lists that still span several components
     are searched: short ones pair by pair, long ones in blocks whose pairs are never listed."""
 
+    given = fetch if isinstance(fetch, Written) else None
+
     def verified(pairs: DataFrame, step: str) -> Written:
         left = Written(sieved(pairs) if sieved else pairs, f"{name}-{step}-pairs")
-        sets = Written(fetch(left.df.select(F.col("a").alias("item")).union(left.df.select("b")).distinct()), f"{name}-{step}-sets")
+        sets = given or Written(fetch(left.df.select(F.col("a").alias("item")).union(left.df.select("b")).distinct()), f"{name}-{step}-sets")
         linked = Written(similar(left.df, sets.df, threshold), f"{name}-{step}-links")
         left.drop()
-        sets.drop()
+        if not given:
+            sets.drop()
         return linked
 
     if "bits" not in lists.columns:
@@ -312,7 +316,7 @@ def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str
                 if not len(i):
                     break
                 j = i + d
-                live = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * threshold)
+                live = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) * (100 * slack) >= np.maximum(n[i], n[j]) * threshold)
                 odd = np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64))
                 live &= (odd <= most_odd) & (odd * (100.0 + threshold) <= (n[i] + n[j]) * (100 - threshold))
                 i, j = i[live], j[live]
@@ -328,7 +332,7 @@ def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "item", "component")
     )
-    held = Written(fetch(long.select("item").distinct()), f"{name}-block-sets")
+    held = given or Written(fetch(long.select("item").distinct()), f"{name}-block-sets")
     long = long.join(held.df, "item")
     keys = ["key", "i", "j"]
 
@@ -347,8 +351,9 @@ def connect(lists: DataFrame, stars: DataFrame, fetch, threshold: int, name: str
 
     met = long.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "part", "item", "tokens").mapInPandas(block, "a long, b long")
     second, third = verified(pairs, "short"), Written(met.distinct(), f"{name}-long-links")
-    both = components(first.df.union(second.df).union(third.df), f"{name}-components")
-    for w in (known, open_lists, held, third, second, first):
+    known_links = known.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    both = components(known_links.union(second.df).union(third.df), f"{name}-components")
+    for w in (known, open_lists, third, second, first, *[held] * (not given)):
         w.drop()
     return both
 

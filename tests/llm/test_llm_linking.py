@@ -292,6 +292,58 @@ def test_paragraphs(spark):
     assert paragraph_bands.repeats(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@given(st.integers(0, 2 ** 32), st.integers(1, 60), st.integers(0, 12), st.integers(50, 99))
+def test_sketches_never_drop_a_link(seed, n, changed, threshold):
+    rng = np.random.RandomState(seed)
+    a = rng.randint(0, 1 << 62, n).astype(np.uint64)
+    if n > 2:
+        a[rng.randint(n)] = a[rng.randint(n)]  # shingles that come twice count once
+    b = np.r_[a[min(changed, n - 1):], rng.randint(0, 1 << 62, changed).astype(np.uint64)]
+    at = np.array([0, n, 0])
+    end = np.array([n, n + len(b), n + len(b)])
+    size, odd = paragraph_bands.sketches(np.r_[a, b], at, end)
+    sets = [{*a.tolist()}, {*b.tolist()}, {*a.tolist(), *b.tolist()}]
+    assert size.tolist() == [*map(len, sets)]
+    assert all(int(o) == sum(1 << p for p, c in collections.Counter(v >> 60 for v in s).items() if c % 2) for s, o in zip(sets, odd))
+    edges = paragraph_bands.size_edges()
+    most = np.r_[edges[1:] - 1, 1 << 40][np.searchsorted(edges, size, side="right") - 1]
+    if 100 * len(sets[0] & sets[1]) >= threshold * len(sets[0] | sets[1]):
+        assert paragraph_bands.like(most[:1], odd[:1], most[1:2], odd[1:2], threshold).all()
+
+
+def test_lists_leave_every_pair_that_can_be_similar():
+    rng = np.random.RandomState(4)
+    sizes = [1, 2, 3, 7, 20, 24, 25, 60] * 6
+    key = np.repeat(np.arange(len(sizes)), sizes)
+    item, n = np.arange(len(key)) * 10, rng.choice([16, 16, 17, 30], len(key))
+    odd = (rng.choice([0, 0xFFFF, 0x5A5A], len(key)) ^ (1 << rng.randint(0, 16, len(key)))).astype(np.uint16)
+    a, b, left = paragraph_bands.tried(key, item, n, odd, 75)
+    stars, held, lost = {*zip(b.tolist(), a.tolist())}, set(left.tolist()), 0
+    for k in range(len(sizes)):
+        own = np.flatnonzero(key == k)
+        for x in range(len(own)):
+            for y in own[x + 1:]:
+                if paragraph_bands.like(n[own[x]], odd[own[x]], n[y], odd[y], 75):
+                    lost += (int(item[own[x]]), int(item[y])) not in stars and not {int(own[x]), int(y)} <= held
+    assert lost == 0 and 0 < len(held) < len(key) and all(x < y for x, y in stars)
+
+
+def test_texts_are_read_four_times(spark, tmp_path):
+    """Once to count them; to post units, to post windows, for the sets of what met, and to place what is linked."""
+    rng, told = random.Random(14), tmp_path / "reads"
+    line = [" ".join(prose(rng, 30)) for _ in range(12)]
+    rows = [(k, "\n".join([" ".join(prose(rng, 40)), line[k % 12], line[k % 12].replace("a", "b", k % 5)])) for k in range(120)]
+
+    def read(batches):
+        with open(told, "a") as f:
+            f.write("x")
+        yield from batches
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInPandas(read, "doc_id long, text string")
+    assert paragraph_bands.repeats(df).count() > 120
+    assert len(told.read_text()) <= 5
+
+
 def prose(rng, n):
     return ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(3, 9))) for _ in range(n)]
 
