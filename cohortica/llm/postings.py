@@ -160,7 +160,10 @@ class Packer:
 
 def repeated(key: np.ndarray, item: np.ndarray) -> np.ndarray:
     """Places of the first posting of each (key, item), of keys with two items or more."""
-    order = np.lexsort((item, key))
+    # Most keys stand once. They leave first: only postings that share their key's last bits with another are sorted.
+    last = (key & ((1 << (4 * len(key)).bit_length()) - 1)).astype(np.int64)
+    order = np.flatnonzero(np.bincount(last)[last] > 1)
+    order = order[np.lexsort((item[order], key[order]))]
     k, i = key[order], item[order]
     new_key = np.r_[True, k[1:] != k[:-1]] if len(k) else np.zeros(0, bool)
     new = new_key | np.r_[True, i[1:] != i[:-1]] if len(k) else new_key
