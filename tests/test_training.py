@@ -126,6 +126,25 @@ def test_search_over_rounds_and_depths(spark, sf):
     assert metrics.weighted_auc(alone).first()["roc_auc"] == pytest.approx(found)
 
 
+def test_searches_share_the_rows_of_folds(spark, sf, monkeypatch):
+    """A run fits the preprocessor of a fold once for all its searches, and they score as searches alone."""
+    from dataclasses import replace
+
+    few = replace(SETTINGS, folds=2, boost_grid={"n_estimators": (1, 2), "max_depth": (2,)})
+    table, _, _ = training.prepare(cases(spark, sf), few)
+    train = table.where("not is_test").drop("is_test")
+    fitted, fit = [], training._fit_pre
+    monkeypatch.setattr(training, "_fit_pre", lambda *args: fitted.append(args[1]) or fit(*args))
+    configs = [c for c in training.training_matrix() if c.model in ("BASE_XGB_GRID", "BASE_RF_GRID", "BASE_XGB_GRID_SMOTE")]
+    shared, together = {}, []
+    try:
+        together = [sorted(training.search(train, c, few, shared)[1].collect()) for c in configs]
+    finally:
+        training.release(shared)
+    assert fitted == ["base"] * 2
+    assert [sorted(training.search(train, c, few)[1].collect()) for c in configs[1:]] == together[1:]
+
+
 def test_reports_arrive_in_any_order(spark):
     """Whatever the order of the files and wherever the query is stopped, the summary is that of all rows."""
     from cohortica.operators import registry
